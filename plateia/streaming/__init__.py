@@ -1,0 +1,5 @@
+"""Deliberately empty.
+
+The workload is batch only: each run covers a closed date window and has no
+watermark, window state or late-data rule to express.
+"""
