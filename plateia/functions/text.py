@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -36,14 +35,17 @@ def _compose(texts: pa.Array) -> pa.Array:
 
 
 @lru_cache(maxsize=1)
-def _combining_marks() -> re.Pattern[str]:
-    marks = (chr(point) for point in range(sys.maxunicode + 1) if unicodedata.combining(chr(point)))
-    return re.compile("[" + "".join(marks) + "]+")
+def _combining_marks() -> frozenset[str]:
+    points = map(chr, range(sys.maxunicode + 1))
+    return frozenset(point for point in points if unicodedata.combining(point))
 
 
 def fold(value: str) -> str:
     """Case- and accent-free form of one string (settings and small helpers)."""
-    return _combining_marks().sub("", unicodedata.normalize("NFD", value.casefold()))
+    decomposed = unicodedata.normalize("NFD", value.casefold())
+    for mark in _combining_marks().intersection(set(decomposed)):
+        decomposed = decomposed.replace(mark, "")
+    return decomposed
 
 
 @F.arrow_udf(StringType())
