@@ -228,7 +228,7 @@ def edited_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 def _document_text(function: Callable[[Column], Column], name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return views.documents(spark, folder).select("doc_id", function(F.col("text")).alias(name))
+        return views.texts(spark, folder).select("doc_id", function(F.col("text")).alias(name))
 
     return run
 
@@ -260,7 +260,7 @@ def star_to_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def emotion_hits(spark: SparkSession, folder: str) -> DataFrame:
-    folded = views.documents(spark, folder).select(
+    folded = views.texts(spark, folder).select(
         "doc_id", text.fold_for_emotion(F.col("text")).alias("folded")
     )
     return folded.select(
@@ -298,12 +298,12 @@ def emotion_fallback(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def score_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Texts through the injected predictor, then sentiment and emotion."""
-    written = views.documents(spark, folder).select(
+    written = views.texts(spark, folder).select(
         F.concat(F.lit("d"), "doc_id").alias("comment_id"),
         text.clean_text(F.col("text")).alias("text_clean"),
     )
     return _scores(
-        scoring.score_comments(written, views.length_predictor, lexicon=views.LEXICON)
+        scoring.score_comments(written, views.length_predictor(), lexicon=views.LEXICON)
     )
 
 
@@ -360,7 +360,7 @@ def channel_engagement_from_bronze(spark: SparkSession, folder: str) -> DataFram
         views.raw_comments(spark, folder), relevant, views.PROCESSED_AT
     )
     return engagement.channel_engagement(
-        relevant, scoring.score_comments(kept, views.length_predictor, lexicon=views.LEXICON)
+        relevant, scoring.score_comments(kept, views.length_predictor(), lexicon=views.LEXICON)
     )
 
 

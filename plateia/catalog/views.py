@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from plateia import schemas
 from plateia.functions.text import clean_text
 from plateia.operators.relevance import mark_relevance
-from plateia.operators.scoring import Predictor, score_comments, with_sentiment
+from plateia.operators.scoring import Predictor, PredictorFactory, score_comments, with_sentiment
 from plateia.operators.silver import is_edited, silver_videos
 from plateia.session import pin_utc
 from plateia.sources.settings import channel_table
@@ -66,6 +66,17 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on a scan with fewer splits than cores; larger scans stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for queries whose cost is in the text."""
+    return _spread(documents(spark, folder), "doc_id")
+
+
 def naive(df: DataFrame) -> DataFrame:
     """Times as UTC without a zone, the form the comparing engine uses."""
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
@@ -90,7 +101,7 @@ def headline() -> Column:
 
 def raw_videos(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze video rows, one snapshot per document."""
-    return documents(spark, folder).select(
+    return texts(spark, folder).select(
         "source",
         F.when(F.substring("source", 4, 9).cast("int") % 4 == 0, "candidato")
         .otherwise("imprensa")
@@ -156,7 +167,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("event_id")
     published = F.col("ts").cast("timestamp")
     updated = F.when(number % 5 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
-    return table(spark, folder, "events").select(
+    return _spread(table(spark, folder, "events"), "event_id").select(
         number.alias("event_id"),
         _name("c", number).alias("comment_id"),
         _name("v", F.col("user_id")).alias("video_id"),
@@ -185,9 +196,11 @@ def _with_text(comments: DataFrame, texts: DataFrame, count: Column, name: str)
 def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze comment rows with landed text."""
     docs = documents(spark, folder)
-    texts = docs.select("doc_id", "text")
     landed = _with_text(
-        events(spark, folder), texts, docs.select(F.count(F.lit(1))).scalar(), "text"
+        events(spark, folder),
+        docs.select("doc_id", "text"),
+        docs.select(F.count(F.lit(1))).scalar(),
+        "text",
     )
     return landed.select(
         "comment_id",
@@ -207,12 +220,10 @@ def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Silver comments with the classifier answer. Texts are cleaned before they fan out."""
-    docs = documents(spark, folder)
-    texts = docs.select("doc_id", clean_text(F.col("text")).alias("text_clean"))
+    count = documents(spark, folder).select(F.count(F.lit(1))).scalar()
+    cleaned = texts(spark, folder).select("doc_id", clean_text(F.col("text")).alias("text_clean"))
     return (
-        _with_text(
-            events(spark, folder), texts, docs.select(F.count(F.lit(1))).scalar(), "text_clean"
-        )
+        _with_text(events(spark, folder), cleaned, count, "text_clean")
         .withColumn("text_clean", F.coalesce("text_clean", F.lit("")))
         .withColumn("is_edited", is_edited(F.col("published_at"), F.col("updated_at")))
         .withColumn("source_file", F.lit("comments_1.json"))
@@ -231,13 +242,16 @@ def rated(spark: SparkSession, folder: str) -> DataFrame:
     return with_sentiment(events(spark, folder))
 
 
-def length_predictor() -> Predictor:
+def length_predictor() -> PredictorFactory:
     """Stands in for the classifier: rates a text by its length alone."""
 
-    def predict(texts: list[str]) -> list[tuple[str, float]]:
-        return [(f"{len(text) % 5 + 1} stars", (len(text) % 64 + 1) / 64) for text in texts]
+    def load() -> Predictor:
+        def predict(texts: list[str]) -> list[tuple[str, float]]:
+            return [(f"{len(text) % 5 + 1} stars", (len(text) % 64 + 1) / 64) for text in texts]
+
+        return predict
 
-    return predict
+    return load
 
 
 # --- landed JSON -------------------------------------------------------------
@@ -266,7 +280,7 @@ def video_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit("public").alias("privacyStatus")).alias("status"),
     )
     pages = (
-        documents(spark, folder)
+        texts(spark, folder)
         .groupBy("source", F.floor(F.col("doc_id") / 50).alias("page"))
         .agg(F.collect_list(item).alias("items"))
     )
@@ -280,7 +294,7 @@ def playlist_pages(spark: SparkSession, folder: str) -> DataFrame:
         _name("v", F.col("doc_id")).alias("videoId"), published.alias("videoPublishedAt")
     )
     pages = (
-        documents(spark, folder)
+        texts(spark, folder)
         .groupBy("source", F.floor(F.col("doc_id") / 50).alias("page"))
         .agg(F.collect_list(F.struct(details.alias("contentDetails"))).alias("items"))
     )
