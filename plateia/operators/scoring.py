@@ -68,7 +68,11 @@ def with_prediction(
                 present.iloc[start : start + batch_size].tolist()
                 for start in range(0, len(present), batch_size)
             )
-            answers = [tuple(answer) for chunk in chunks for answer in predict(chunk)]
+            answers = [
+                tuple(answer)
+                for chunk in chunks
+                for _, answer in zip(chunk, predict(chunk), strict=True)
+            ]
             yield pd.DataFrame(
                 answers, index=present.index, columns=["label", "confidence"]
             ).reindex(texts.index)

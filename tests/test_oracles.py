@@ -1,0 +1,30 @@
+"""Every registered query against its DuckDB statement."""
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check_oracles import connect, differences
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(FOLDER)
+
+
+def test_every_query_has_a_statement():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, duck, name):
+    assert differences(queries()[name](spark, FOLDER), duck, oracle_sql()[name]) is None
+
+
+def test_entry_is_lazy_and_has_rows(spark):
+    result = entry(spark)
+    assert result.columns[0] == "tema"
+    assert result.count() > 0
