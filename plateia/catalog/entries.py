@@ -51,7 +51,9 @@ def bronze_flatten_videos(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _landed_videos(spark: SparkSession, folder: str) -> DataFrame:
-    return views.raw_videos(spark, folder).select("video_id", "source", "category")
+    return views.raw_videos(spark, folder, reads_text=False).select(
+        "video_id", "source", "category"
+    )
 
 
 def _landed_comments(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,7 +78,7 @@ def bronze_envelope_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def collection_window(spark: SparkSession, folder: str) -> DataFrame:
-    raw = views.raw_videos(spark, folder).select(
+    raw = views.raw_videos(spark, folder, reads_text=False).select(
         "video_id", to_utc(F.col("published_at")).alias("published_at")
     )
     return raw.filter(in_window(F.col("published_at"), *views.WINDOW))
@@ -123,7 +125,7 @@ def run_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def source_category(spark: SparkSession, folder: str) -> DataFrame:
-    raw = views.raw_videos(spark, folder).select("video_id", "source", "category")
+    raw = _landed_videos(spark, folder)
     return relevance.with_source_category(raw, views.channels(spark))
 
 
@@ -314,9 +316,11 @@ def _enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.enrich_comments(views.scored(spark, folder), views.videos(spark, folder))
 
 
-def _enriched_rated(spark: SparkSession, folder: str) -> DataFrame:
-    """Enriched comments for queries that read no text and no emotion."""
-    return enrichment.enrich_comments(views.rated(spark, folder), views.videos(spark, folder))
+def _enriched_rated(spark: SparkSession, folder: str, mentions: bool = False) -> DataFrame:
+    """Enriched comments for queries that read no comment text and no emotion."""
+    return enrichment.enrich_comments(
+        views.rated(spark, folder), views.videos(spark, folder, reads_text=mentions)
+    )
 
 
 @query
@@ -339,7 +343,9 @@ def candidate_attribution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def daily_volume(spark: SparkSession, folder: str) -> DataFrame:
-    return engagement.daily_volume(views.videos(spark, folder), views.rated(spark, folder))
+    return engagement.daily_volume(
+        views.videos(spark, folder, reads_text=False), views.rated(spark, folder)
+    )
 
 
 @query
@@ -349,7 +355,9 @@ def candidate_engagement(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_engagement(spark: SparkSession, folder: str) -> DataFrame:
-    return engagement.channel_engagement(views.videos(spark, folder), views.rated(spark, folder))
+    return engagement.channel_engagement(
+        views.videos(spark, folder, reads_text=False), views.rated(spark, folder)
+    )
 
 
 @query
@@ -401,10 +409,7 @@ def sentiment_share(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def home_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    candidates = engagement.candidate_engagement(
-        views.videos(spark, folder), views.rated(spark, folder)
-    )
-    return overview.home_kpis(_enriched_rated(spark, folder), candidates)
+    return overview.home_kpis(_enriched_rated(spark, folder), _candidates(spark, folder))
 
 
 @query
@@ -439,12 +444,16 @@ def emotion_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def weekly_video_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.comments_per_video_week(views.rated(spark, folder), views.videos(spark, folder))
+    return overview.comments_per_video_week(
+        views.rated(spark, folder), views.videos(spark, folder, reads_text=False)
+    )
 
 
 @query
 def weekly_top_videos(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.weekly_top_videos(views.rated(spark, folder), views.videos(spark, folder))
+    return overview.weekly_top_videos(
+        views.rated(spark, folder), views.videos(spark, folder, reads_text=False)
+    )
 
 
 @query
@@ -454,7 +463,7 @@ def distinct_emotions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def distinct_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = _enriched_rated(spark, folder)
+    enriched = _enriched_rated(spark, folder, mentions=True)
     return overview.distinct_values(enriched, "candidato", defaults.NOT_MENTIONED)
 
 
@@ -503,5 +512,5 @@ def sample_by_candidate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sample_size(spark: SparkSession, folder: str) -> DataFrame:
     return samples.sample_size(
-        _enriched_rated(spark, folder), 20, candidato="Zélia Braga", sentimento="POSITIVO"
+        _enriched_rated(spark, folder, mentions=True), 20, candidato="Zélia Braga", sentimento="POSITIVO"
     )

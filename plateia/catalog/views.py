@@ -99,9 +99,10 @@ def headline() -> Column:
     return F.substring_index("text", "\n", 1)
 
 
-def raw_videos(spark: SparkSession, folder: str) -> DataFrame:
+def raw_videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
     """Bronze video rows, one snapshot per document."""
-    return texts(spark, folder).select(
+    source = texts(spark, folder) if reads_text else documents(spark, folder)
+    return source.select(
         "source",
         F.when(F.substring("source", 4, 9).cast("int") % 4 == 0, "candidato")
         .otherwise("imprensa")
@@ -147,17 +148,19 @@ def channels(spark: SparkSession) -> DataFrame:
     return channel_table(spark, CHANNELS)
 
 
-def marked_videos(spark: SparkSession, folder: str) -> DataFrame:
-    return mark_relevance(raw_videos(spark, folder), TERMS, channels(spark))
+def marked_videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
+    return mark_relevance(raw_videos(spark, folder, reads_text), TERMS, channels(spark))
 
 
-def videos(spark: SparkSession, folder: str) -> DataFrame:
+def videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
     """Every document as a silver video; columns a query does not use cost nothing."""
-    return silver_videos(marked_videos(spark, folder), TERMS, PROCESSED_AT)
+    return silver_videos(marked_videos(spark, folder, reads_text), TERMS, PROCESSED_AT)
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events(spark: SparkSession, folder: str, gets_text: bool = False) -> DataFrame:
     """Comment measures of events, without text. Small values stand for blank comments."""
+    landed = table(spark, folder, "events")
+    source = _spread(landed, "event_id") if gets_text else landed
     stars = {"purchase": "5 stars", "click": "4 Stars", "view": "3 stars", "signup": "2 stars"}
     label = F.lit("1 star")
     for kind, name in stars.items():
@@ -167,7 +170,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("event_id")
     published = F.col("ts").cast("timestamp")
     updated = F.when(number % 5 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
-    return _spread(table(spark, folder, "events"), "event_id").select(
+    return source.select(
         number.alias("event_id"),
         _name("c", number).alias("comment_id"),
         _name("v", F.col("user_id")).alias("video_id"),
@@ -197,7 +200,7 @@ def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze comment rows with landed text."""
     docs = documents(spark, folder)
     landed = _with_text(
-        events(spark, folder),
+        events(spark, folder, gets_text=True),
         docs.select("doc_id", "text"),
         docs.select(F.count(F.lit(1))).scalar(),
         "text",
@@ -223,7 +226,7 @@ def comments(spark: SparkSession, folder: str) -> DataFrame:
     count = documents(spark, folder).select(F.count(F.lit(1))).scalar()
     cleaned = texts(spark, folder).select("doc_id", clean_text(F.col("text")).alias("text_clean"))
     return (
-        _with_text(events(spark, folder), cleaned, count, "text_clean")
+        _with_text(events(spark, folder, gets_text=True), cleaned, count, "text_clean")
         .withColumn("text_clean", F.coalesce("text_clean", F.lit("")))
         .withColumn("is_edited", is_edited(F.col("published_at"), F.col("updated_at")))
         .withColumn("source_file", F.lit("comments_1.json"))

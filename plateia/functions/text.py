@@ -18,11 +18,9 @@ from pyspark.sql.types import StringType
 
 from plateia import defaults
 
-# The characters str.isspace() accepts, as a regex class body.
-WHITESPACE = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# Whitespace is what str.isspace() accepts: as characters, and as a regex class body.
+SPACES = "".join(chr(point) for point in range(sys.maxunicode + 1) if chr(point).isspace())
+WHITESPACE = "".join(f"\\x{{{ord(space):x}}}" for space in SPACES)
 
 
 def _folder() -> Callable[[str], str]:
@@ -78,4 +76,4 @@ def fold_for_emotion(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return ~F.coalesce(text.rlike(f"[^{WHITESPACE}]"), F.lit(False))
+    return F.coalesce(F.ltrim(text, F.lit(SPACES)), F.lit("")) == ""

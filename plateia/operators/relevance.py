@@ -67,12 +67,25 @@ def is_relevant() -> Column:
     return F.size("matched_terms") > 0
 
 
+def _judged(marked: DataFrame) -> DataFrame:
+    """``marked`` with its terms as a generated column.
+
+    The optimizer pushes a filter below the columns it reads and computes them
+    again there. It does not push it below a generator, so texts are folded and
+    searched once.
+    """
+    others = [name for name in marked.columns if name != "matched_terms"]
+    return marked.select(
+        *others, F.inline(F.array(F.struct("matched_terms"))).alias("matched_terms")
+    ).select(*marked.columns)
+
+
 def relevant(marked: DataFrame) -> DataFrame:
-    return marked.filter(is_relevant())
+    return _judged(marked).filter(is_relevant())
 
 
 def discarded(marked: DataFrame) -> DataFrame:
-    return marked.filter(~is_relevant())
+    return _judged(marked).filter(~is_relevant())
 
 
 def selection_counts() -> list[Column]:

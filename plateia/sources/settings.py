@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,17 +37,30 @@ def read_terms(spark: SparkSession, path: str) -> list[dict[str, str]]:
     return _read_entries(spark, path, schemas.TERMS_FILE, "relevance_terms")
 
 
+def _local(spark: SparkSession, names: Sequence[str], rows: list[tuple]) -> DataFrame:
+    """Text rows as a local relation, whose exact size the planner knows.
+
+    It broadcasts them only below its size limit, and then a join on them
+    shuffles nothing.
+    """
+    columns = {name: pa.array([row[i] for row in rows], pa.string()) for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns))
+
+
 def channel_table(spark: SparkSession, channels: Entries) -> DataFrame:
     """One row per source; a later entry of the same source replaces an earlier one."""
     unique = {entry["source"]: entry for entry in channels}
-    rows = [(e["source"], e["category"], e.get("identifier")) for e in unique.values()]
-    return spark.createDataFrame(rows, "source STRING, category STRING, identifier STRING")
+    return _local(
+        spark,
+        ("source", "category", "identifier"),
+        [(e["source"], e["category"], e.get("identifier")) for e in unique.values()],
+    )
 
 
 def term_table(spark: SparkSession, terms: Entries) -> DataFrame:
     """Configured terms as rows, with the term folded the way texts are."""
     rows = [(e["type"], e["label"], fold(e["term"])) for e in terms]
-    return spark.createDataFrame(rows, "tipo STRING, rotulo STRING, termo STRING")
+    return _local(spark, ("tipo", "rotulo", "termo"), rows)
 
 
 def identifier_kind(identifier: Column) -> Column:
