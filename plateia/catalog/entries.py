@@ -262,15 +262,11 @@ def star_to_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def emotion_hits(spark: SparkSession, folder: str) -> DataFrame:
-    folded = views.texts(spark, folder).select(
-        "doc_id", text.fold_for_emotion(F.col("text")).alias("folded")
-    )
-    return folded.select(
+    hits = emotion.keyword_hits(F.col("text"), defaults.EMOTION_LEXICON)
+    counted = views.texts(spark, folder).select("doc_id", hits.alias("hits"))
+    return counted.select(
         "doc_id",
-        *(
-            emotion.keyword_hits(F.col("folded"), words).cast("bigint").alias(name.lower())
-            for name, words in defaults.EMOTION_LEXICON.items()
-        ),
+        *(F.col(f"hits.{n}").cast("bigint").alias(n.lower()) for n in defaults.EMOTION_LEXICON),
     )
 
 

@@ -174,7 +174,7 @@ def _scored(name: str, source: str, lexicon: dict[str, list[str]]) -> str:
     hits = ",\n    ".join(
         f"{_hits('folded', words)} AS h_{name.lower()}" for name, words in lexicon.items()
     )
-    return f"""{name}_hits AS (
+    return f"""{name}_hits AS MATERIALIZED (
   SELECT *, {hits}
   FROM (SELECT *, {_emotion_fold("text_clean")} AS folded FROM {source})
 ), {name}_best AS (

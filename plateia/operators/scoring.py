@@ -116,12 +116,14 @@ def score_comments(
     schemas.require_columns(comments, ["label", "confidence"], "scoring")
     kept = [name for name in comments.columns if name not in ("label", "confidence")]
 
-    emotion_columns = emotion.emotion_of(
-        F.col(text), F.col("sentimento"), F.col("_stars"), lexicon
-    )
+    searched = F.when(F.col("sentimento") != "NEUTRO", F.col(text))
     return (
         with_sentiment(comments, blank=text)
-        .withColumn("_emotion", emotion_columns)
+        .withColumn("_hits", emotion.keyword_hits(searched, lexicon))
+        .withColumn(
+            "_emotion",
+            emotion.emotion_of(F.col("sentimento"), F.col("_stars"), F.col("_hits")),
+        )
         .select(*kept, "sentimento", "score_sentimento", "_emotion.*")
         .select(*kept, *SCORE_COLUMNS)
     )
