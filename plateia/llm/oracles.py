@@ -3,3 +3,52 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_top_inner_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+ORACLES["op6_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM k
+"""
+
+ORACLES["op10_token_rollup"] = r"""
+WITH l AS (
+  SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT source, lang, coalesce(text, '') AS text, l.toxic
+  FROM documents LEFT JOIN l USING (doc_id) WHERE l.toxic IS NULL OR l.toxic <> 1
+), c AS (
+  SELECT source, lang, 'words-1' AS tokenizer,
+         len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')) AS n FROM d WHERE toxic IS NULL
+  UNION ALL
+  SELECT source, lang, 'words-2', len(regexp_extract_all(text, '\p{L}+')) FROM d WHERE toxic IS NOT NULL
+  UNION ALL
+  SELECT source, lang, 'pieces-1',
+         len(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9 \t\n\x0B\f\r]')) FROM d
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+FROM c GROUP BY source, lang, tokenizer
+"""
