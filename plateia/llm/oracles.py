@@ -52,3 +52,31 @@ WITH l AS (
 SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
 FROM c GROUP BY source, lang, tokenizer
 """
+
+# Words are runs without ASCII blanks, with A-Z in lower case.
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' ')) END
+  ) AS shingle, least(len(words), 4) AS width FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.width = b.width AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), e AS (
+  SELECT a, b FROM l JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+"""

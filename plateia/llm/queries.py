@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plateia.llm.common import new_folder, written
+from plateia.llm.fingerprints import fingerprint_edits
+from plateia.llm.line_dedup import dedup_lines
 from plateia.llm.mixing import count_words, mix_sources
+from plateia.llm.ngram_join import ngram_components
 from plateia.llm.packing import pack_documents
 from plateia.llm.rollups import TokenRollup, count_tokens, image
 from plateia.llm.token_files import token_files
@@ -106,3 +109,20 @@ def op10_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     for batch, rows in ((1, inserts), (2, recounts), (3, deletes), (2, recounts)):
         rollup.commit(batch, rows)
     return rollup.totals()
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = dedup_lines(table(spark, folder, "documents"), least_words=30, gram_words=15)
+    return cut.select("doc_id", "n_lines", "removed_lines", "removed", "text")
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return ngram_components(docs, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op3_iblt_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents"))
