@@ -35,6 +35,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plateia.llm.common import only
 
@@ -219,19 +220,20 @@ def fit_toxicity(
     )
 
 
-def score_toxicity(docs: DataFrame, model: Model, *kept: str) -> DataFrame:
-    """``score`` of every document, next to the columns ``kept``."""
+def score_toxicity(docs: DataFrame, model: Model, *kept: str, out: str = "score") -> DataFrame:
+    """The score of every document as ``out``, next to the columns ``kept``."""
+    text = "text" if "text" in kept else "_text"
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for batch in batches:
-            values = [scorer.score(text.as_py()) for text in batch["_text"]]
+            values = [scorer.score(one.as_py()) for one in batch[text]]
             columns = [batch[name] for name in kept] + [pa.array(values, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, out])
 
-    rows = docs.select(*kept, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept)
-    return rows.mapInArrow(scores, f"{fields}, score DOUBLE")
+    rows = docs.select(*kept) if text == "text" else docs.select(*kept, F.col("text").alias(text))
+    fields = [docs.schema[name] for name in kept] + [T.StructField(out, T.DoubleType())]
+    return rows.mapInArrow(scores, T.StructType(fields))
 
 
 def classify_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000) -> DataFrame:
