@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,13 +63,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return classify_toxicity(docs, labels, sample_docs=4000)
 
 
-MIX = {"repetition": 1.25, "block_docs": 64, "seed": 1}
-
-
 @query
 def op2_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The whole mix: every document at least once, no source passed over 1.25 times."""
-    mixed = mix_sources(table(spark, folder, "documents"), **MIX)
+    docs = table(spark, folder, "documents")
+    mixed = mix_sources(docs, repetition=1.25, block_docs=64, seed=1)
     return mixed.select(
         "doc_id", "source", count_words(F.col("text")).alias("n_tokens"), "epoch", "mix_order"
     )
@@ -126,3 +125,8 @@ def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_iblt_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(table(spark, folder, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
