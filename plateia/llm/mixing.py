@@ -34,6 +34,8 @@ from plateia.llm.common import written
 WAYS = 32
 ROUNDS = 7
 LEAST = -(1 << 63)
+FEW_SOURCES = 100_000
+SALTS = 256
 
 
 def count_words(text: Column) -> Column:
@@ -110,6 +112,19 @@ def _source() -> Column:
     return F.coalesce(F.col("source"), F.lit(""))
 
 
+def _of_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """Join rows with the one row of their source, without gathering a source anywhere.
+
+    A table of at most ``FEW_SOURCES`` rows goes to every task. A larger one is
+    repeated under a salt that also deals the rows of each source out.
+    """
+    if per_source.count() <= FEW_SOURCES:
+        return rows.join(F.broadcast(per_source), "_source")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return salted.join(per_source.withColumn("_salt", salts), ["_source", "_salt"]).drop("_salt")
+
+
 def plan_mix(
     docs: DataFrame, budget_tokens: int | None = None, entropy: float | None = None,
     repetition: float | None = None, block_docs: int = 64, seed: int = 1,
@@ -135,11 +150,12 @@ def plan_mix(
     budget = point.budget(tokens, budget_tokens)
     weight = F.when(F.col("share") > 0, F.pow("share", F.lit(point.exponent)) / point.norm).otherwise(0.0)
     wanted = F.round(F.col("weight") * F.lit(budget)).cast("bigint")
-    plan = (
+    plan = written(
         shares.withColumn("weight", weight)
         .withColumn("budget", wanted)
         .withColumn("passes", F.when(F.col("_total") > 0, F.expr("budget div _total")).otherwise(F.lit(1)))
-        .withColumn("_rest", F.when(F.col("_total") > 0, F.expr("budget % _total")).otherwise(F.lit(0)))
+        .withColumn("_rest", F.when(F.col("_total") > 0, F.expr("budget % _total")).otherwise(F.lit(0))),
+        "mix-plan",
     )
     cuts = _cuts(counted, blocks, plan.select("_source", "passes", "_rest"), seed)
     return plan.join(cuts, "_source", "left").select(
@@ -151,7 +167,7 @@ def plan_mix(
 
 def _cuts(counted: DataFrame, blocks: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """Where the unfinished pass of each source ends: the last order and doc_id within its rest."""
-    left = blocks.join(plan.filter("_rest > 0"), "_source").withColumn(
+    left = _of_source(blocks, plan.filter("_rest > 0")).withColumn(
         "_at", _order(seed, F.col("passes"), F.col("_block"))
     )
     running = Window.partitionBy("_source").orderBy("_bin")
@@ -189,10 +205,10 @@ def mix_sources(
     Read in the order of ``mix_order`` and doc_id, the passes of all sources are
     spread over the whole mix, block by block.
     """
-    plan = plan_mix(docs, budget_tokens, entropy, repetition, block_docs, seed)
+    plan = written(plan_mix(docs, budget_tokens, entropy, repetition, block_docs, seed), "mix-cuts")
     columns = [name for name in docs.columns if name not in ("epoch", "mix_order")]
     own = docs.select(*columns).withColumn("_source", _source())
-    joined = own.join(plan.select("_source", "passes", "cut_order", "cut_doc"), "_source")
+    joined = _of_source(own, plan.select("_source", "passes", "cut_order", "cut_doc"))
     at = _order(seed, F.col("passes"), _block(block_docs))
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST))
     more = (at < F.col("cut_order")) | ((at == F.col("cut_order")) & (doc <= F.col("cut_doc")))
