@@ -68,12 +68,10 @@ def train_dictionary(
     pages: DataFrame, size: int = 1 << 16, sample_rows: int = 1000, sample_bytes: int = 1 << 14
 ) -> bytes:
     """A dictionary of payload slices; the sample is drawn by a digest of the page id."""
-    sampled = (
-        pages.filter(F.length("html") > 0)
-        .orderBy(F.xxhash64("page_id"), "page_id")
-        .limit(sample_rows)
-        .select(F.col("html").substr(1, sample_bytes).cast("binary").alias("part"))
-    )
+    rows = only(pages, page_id="page_id", part=F.col("html").substr(1, sample_bytes).cast("binary"))
+    # Ids first: a task then sends the driver ids for the draw, and texts of drawn pages only.
+    drawn = rows.filter(F.length("part") > 0).select("page_id").orderBy(F.xxhash64("page_id"), "page_id")
+    sampled = rows.join(F.broadcast(drawn.limit(sample_rows)), "page_id").select("part").limit(sample_rows)
     parts = [bytes(row.part) for row in sampled.collect()]
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
