@@ -114,8 +114,10 @@ def _blocks(rows: DataFrame, key: str, width: int) -> DataFrame:
     )
 
 
-def _fit_rotation(rows: DataFrame, width: int, fit_rows: int) -> np.ndarray:
-    sample = rows.orderBy(F.xxhash64("vec_id", "vector")).limit(fit_rows).select("vector").collect()
+def _fit_rotation(rows: DataFrame, total: int, width: int, fit_rows: int) -> np.ndarray:
+    """The SVD rotation of about ``fit_rows`` vectors, drawn by a digest; at most twice as many."""
+    drawn = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(total)) < fit_rows
+    sample = rows.filter(drawn).select("vector").limit(2 * fit_rows).collect()
     matrix = _matrix([r.vector for r in sample], width).astype(np.float64)
     return np.linalg.svd(matrix.T @ matrix)[0] if width else np.zeros((0, 0))
 
@@ -197,7 +199,7 @@ def top_inner_products(
     result = "query_id BIGINT, row BIGINT, vec_id BIGINT, score BIGINT"
     if not total or not queries:
         return spark.createDataFrame([], "query_id BIGINT, rank INT, vec_id BIGINT, score BIGINT")
-    rotation = _fit_rotation(rows, width, fit_rows)
+    rotation = _fit_rotation(rows, total, width, fit_rows)
 
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
