@@ -83,7 +83,7 @@ class ShardWriter:
         self.path, self.bits, self.block_ids = path, bits, block_ids
         store, place = fs.FileSystem.from_uri(path)
         store.create_dir(place.rpartition("/")[0], recursive=True)
-        self.out = store.open_output_stream(place)
+        self.out = store.open_output_stream(place, compression=None)
         self.out.write(HEADER.pack(MAGIC, bits, block_ids))
         self.waiting, self.ids = bytearray(), 0
         self.offsets: list[int] = []

@@ -109,7 +109,7 @@ class ArchiveWriter:
         self.path, self.records = path, 0
         store, place = fs.FileSystem.from_uri(path)
         store.create_dir(place.rpartition("/")[0], recursive=True)
-        self.out = store.open_output_stream(place)
+        self.out = store.open_output_stream(place, compression=None)
         if dictionary:
             packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
             self.out.write(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
@@ -132,7 +132,7 @@ class ArchiveWriter:
 def read_archive(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record, with the dictionary the archive carries."""
     store, place = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(place) as file:
+    with store.open_input_stream(place, compression=None) as file:
         waiting, dictionary = file.read(READ_BYTES), b""
         if len(waiting) >= 8 and struct.unpack_from("<I", waiting)[0] == DICTIONARY_FRAME:
             end = 8 + struct.unpack_from("<I", waiting, 4)[0]
