@@ -17,10 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, as in tests, may leave it unset; it gets a temporary
     folder, once.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
+        # With the scheme of its store, which file libraries of the workers need.
+        place = context._jvm.org.apache.hadoop.fs.Path(folder)
+        store = place.getFileSystem(context._jsc.hadoopConfiguration())
+        return store.makeQualified(place).toString().rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     key = context.applicationId
