@@ -38,7 +38,7 @@ from plateia.llm.common import written
 
 BASE_1, BASE_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 WORD = (1 << 64) - 1
-WINDOWS = "_doc BIGINT, _text BIGINT, first INT, last INT, gram INT, fingerprint BIGINT, content BIGINT"
+WINDOWS = "_ld_doc BIGINT, _ld_text BIGINT, first INT, last INT, gram INT, fingerprint BIGINT, content BIGINT"
 
 
 def weigh(line: str) -> int:
@@ -88,34 +88,34 @@ def windows(text: str, least_words: int, gram_words: int) -> Iterator[tuple[int,
 
 def _key() -> list[Column]:
     return [
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_doc"),
-        F.xxhash64("text").alias("_text"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("_ld_doc"),
+        F.xxhash64("text").alias("_ld_text"),
     ]
 
 
 def repeated_runs(docs: DataFrame, least_words: int = 30, gram_words: int = 15) -> DataFrame:
-    """``runs`` (first and last line) to delete of every document that has some."""
+    """``_ld_runs`` (first and last line) to delete of every document that has some."""
 
     def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, key, text in zip(batch["_doc"].to_pylist(), batch["_text"].to_pylist(), batch["text"]):
+            for doc, key, text in zip(batch["_ld_doc"].to_pylist(), batch["_ld_text"].to_pylist(), batch["text"]):
                 rows += [(doc, key, *w) for w in windows(text.as_py() or "", least_words, gram_words)]
             for at in range(0, len(rows), 20_000):
                 columns = zip(*rows[at : at + 20_000])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    names = ["_doc", "_text", "first", "last", "gram", "fingerprint", "content"]
+    names = ["_ld_doc", "_ld_text", "first", "last", "gram", "fingerprint", "content"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     found = written(docs.select(*_key(), "text").mapInArrow(selected, WINDOWS), "line-windows")
-    gram_place = F.struct("_doc", "_text", "gram")
+    gram_place = F.struct("_ld_doc", "_ld_text", "gram")
     repeated = (
         found.groupBy("fingerprint")
         .agg(F.min(gram_place).alias("low"), F.max(gram_place).alias("high"))
         .filter("low <> high")
     )
     candidates = found.join(repeated, "fingerprint", "left_semi")
-    place = F.struct("_doc", "_text", "first")
+    place = F.struct("_ld_doc", "_ld_text", "first")
     firsts = (
         candidates.groupBy("fingerprint", "content")
         .agg(F.min(place).alias("low"), F.max(place).alias("high"))
@@ -124,9 +124,9 @@ def repeated_runs(docs: DataFrame, least_words: int = 30, gram_words: int = 15)
     )
     matches = candidates.join(firsts, ["fingerprint", "content"]).filter(place > F.col("low"))
     return (
-        matches.groupBy("_doc", "_text")
+        matches.groupBy("_ld_doc", "_ld_text")
         .agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("matches"))
-        .select("_doc", "_text", _extended(F.col("matches")).alias("runs"))
+        .select("_ld_doc", "_ld_text", _extended(F.col("matches")).alias("_ld_runs"))
     )
 
 
@@ -157,18 +157,18 @@ def dedup_lines(docs: DataFrame, least_words: int = 30, gram_words: int = 15) ->
     keyed = docs.select(*columns, *_key())
     lines = F.split("text", "\n")
     kept = F.filter(
-        lines, lambda _, i: ~F.exists("runs", lambda r: (r["first"] <= i) & (i <= r["last"]))
+        lines, lambda _, i: ~F.exists("_ld_runs", lambda r: (r["first"] <= i) & (i <= r["last"]))
     )
     removed = F.aggregate(
-        "runs", F.lit(0), lambda total, r: total + r["last"] - r["first"] + 1
+        "_ld_runs", F.lit(0), lambda total, r: total + r["last"] - r["first"] + 1
     )
-    return keyed.join(runs, ["_doc", "_text"], "left").select(
+    return keyed.join(runs, ["_ld_doc", "_ld_text"], "left").select(
         *(
-            F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+            F.when(F.col("_ld_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
             if name == "text" else F.col(name)
             for name in columns
         ),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
         F.coalesce(removed, F.lit(0)).alias("removed_lines"),
-        F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("removed"),
+        F.coalesce("_ld_runs", F.array().cast("array<struct<first:int,last:int>>")).alias("removed"),
     )
