@@ -7,8 +7,8 @@ sets share one of the first n - ceil(t n) + 1, their prefix.
 1. Classes with the same size and prefix are collapsed into one group.
 2. Groups meet through the prefix shingles they share. First each group meets
    three pivots of every such list (least size, greatest size, least id), and each
-   member its group's representative; pairs of fitting sizes are verified on whole
-   sets, and the links give components.
+   member its group's representative. Pairs of fitting sizes, less those that a
+   bitmap of parities rules out, are verified on whole sets; links give components.
 3. Lists and groups whose members are all of one component are done: nothing they
    could add would change a component. In the others, every pair of groups from
    different components whose sizes and prefix places allow a link is expanded to
@@ -44,6 +44,7 @@ from plateia.llm.components import components
 
 CELL_BITS = 18
 FILTER_BITS = 25
+PARITY_BITS = 1024
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -98,8 +99,17 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, "<i8").tolist())
 
 
+def _parity(hashes: np.ndarray) -> bytes:
+    """Whether each of a fixed number of buckets holds an odd number of the hashes.
+
+    The buckets in which two sets differ are at most the hashes in which they do.
+    """
+    counts = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(counts & 1).tobytes()
+
+
 def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, the class (node, check), the prefix and its group, of every document."""
+    """doc_id, n, the class (node, check), parity bits, the prefix and its group, of every document."""
     ranks = rarity(docs, words)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,18 +120,19 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"]):
                     own = shingles(text.as_py(), words)
                     if not len(own):
-                        rows.append((doc_id, 0, None, None, None, None))
+                        rows.append((doc_id, 0, None, None, None, None, None))
                         continue
                     order = np.lexsort((own, ranks[_cells(own)]))
                     prefix = own[order[: prefix_length(len(own), percent)]].view(np.int64)
                     group = _digest(np.append(prefix, len(own)))[0]
-                    rows.append((doc_id, len(own), *_digest(own), group, prefix))
+                    rows.append((doc_id, len(own), *_digest(own), _parity(own), group, prefix))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    names = ["doc_id", "n", "node", "check", "group", "prefix"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = ["doc_id", "n", "node", "check", "parity", "group", "prefix"]
+    kinds = [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.list_(pa.int64())]
     return docs.mapInArrow(
-        profile, "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, group BIGINT, prefix ARRAY<BIGINT>"
+        profile,
+        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity BINARY, group BIGINT, prefix ARRAY<BIGINT>",
     )
 
 
@@ -148,12 +159,39 @@ def _marked(masks: np.ndarray, bit: np.ndarray) -> np.ndarray:
 
 
 class _Verifier:
-    """Whole shingle sets of the classes that can have partners, and exact checks of pairs."""
+    """Exact checks of pairs of classes, on whole shingle sets."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int):
+        self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
-        self.percent = percent
+    def sifted(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that their parity bits do not rule out: linked sets differ in few hashes."""
+        percent = self.percent
+
+        def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    x, y = (
+                        np.frombuffer(b"".join(batch[side].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                        for side in ("x", "y")
+                    )
+                    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                    # 100 common >= percent * union, with union = common + differ
+                    total = batch["m"].to_numpy() + batch["n"].to_numpy()
+                    hit = np.flatnonzero((100 + percent) * differ <= (100 - percent) * total)
+                    yield batch.select(["a", "b"]).take(pa.array(hit))
+
+        known = self.classes.groupBy("node").agg(F.min("parity").alias("parity"), F.min("n").alias("n"))
+        x = known.select(F.col("node").alias("a"), F.col("parity").alias("x"), F.col("n").alias("m"))
+        y = known.select(F.col("node").alias("b"), F.col("parity").alias("y"), "n")
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "m", "n")
+        return written(both.mapInArrow(few, "a BIGINT, b BIGINT"), "sifted-pairs")
+
+    def _sets(self, nodes: DataFrame) -> DataFrame:
+        """The hashes of the classes in ``nodes``, from their whole texts."""
+        words = self.words
         bit = F.pmod(F.xxhash64("least_id"), F.lit(1 << FILTER_BITS)).alias("bit")
-        masks = _bitmap(nodes.select(bit))  # spares most other texts a shuffle
+        masks = _bitmap(self.classes.join(nodes, "node", "left_semi").select(bit))
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -163,16 +201,12 @@ class _Verifier:
                     for i in hits[at : at + 500].tolist():
                         own = shingles(batch["text"][i].as_py(), words)
                         if len(own):
-                            rows.append((*_digest(own), own.tobytes()))
+                            rows.append((_digest(own)[0], own.tobytes()))
                     if rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c) for c in zip(*rows)], ["node", "check", "hashes"]
-                        )
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["node", "hashes"])
 
-        tested = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("bit"))
-        sets = tested.mapInArrow(whole, "node BIGINT, check BIGINT, hashes BINARY")
-        wanted = nodes.select("node", "check")
-        self.sets = written(sets.join(wanted, ["node", "check"], "left_semi").select("node", "hashes"), "shingle-sets")
+        tested = self.docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("bit"))
+        return written(tested.mapInArrow(whole, "node BIGINT, hashes BINARY"), "shingle-sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         percent = self.percent
@@ -193,10 +227,12 @@ class _Verifier:
                 if kept:
                     yield batch.select(["a", "b"]).take(pa.array(kept))
 
-        x = self.sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-        y = self.sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return written(both.mapInArrow(linked, "a BIGINT, b BIGINT"), "similar-pairs")
+        near = self.sifted(pairs)
+        sets = self._sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+        y = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+        both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        return written(both.mapInArrow(linked, "a BIGINT, b BIGINT").distinct(), "similar-pairs")
 
 
 def _postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
@@ -228,7 +264,9 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     rows = only(docs, doc_id=F.col("doc_id").cast("bigint"), text="text")
     profile = written(profiles(rows, words, percent), "profiles")
     known = profile.filter("n > 0")
-    classes = written(known.groupBy("node", "check", "group").agg(F.min("doc_id").alias("least_id")), "classes")
+    classes = written(
+        known.groupBy("node", "check", "group", "n", "parity").agg(F.min("doc_id").alias("least_id")), "classes"
+    )
     crowded = classes.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("head")).filter(
         "members > 1")
     crowd = written(classes.join(crowded, "group"), "prefix-groups")
@@ -241,9 +279,7 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     lists = written(_postings(heads, shared).join(shared, "shingle", "left_semi"), "prefix-lists")
 
     met = lists.select("group").distinct()
-    partnered = classes.join(met, "group", "left_semi").select("node", "check", "least_id").unionByName(
-        crowd.select("node", "check", "least_id")).distinct()
-    verifier = _Verifier(rows, partnered, words, percent)
+    verifier = _Verifier(rows, classes, words, percent)
 
     place = F.struct("n", "node")
     pivots = lists.groupBy("shingle").agg(
