@@ -1,7 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
-A paragraph is a run of up to eight words that ends at a punctuation mark or a
-line feed. Long texts join neighbouring paragraphs, up to one whose digest is
+A paragraph is a run of up to twelve words that ends with a sentence or a line. Long texts join neighbouring paragraphs, up to one whose digest is
 divisible by a power of two, so that every text has about ``units`` keys and an
 edit changes the keys around it alone.
 
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 
 from plateia.llm.common import written
 
-# Up to eight words, then the punctuation that ends them; possessive, so linear.
-PARAGRAPH = r"(?:[^\s.!?;:,|]++[^\S\n]*+){1,8}+[.!?;:,|]*+|[.!?;:,|]++"
+# Up to twelve words, then the marks that end them; possessive, so linear.
+PARAGRAPH = r"(?:[^\s.!?]++[^\S\n]*+){1,12}+[.!?]*+|[.!?]++"
 LEAST = -(1 << 63)
 SIZES = (24, 96, 384)
 HASHES = 3
