@@ -208,11 +208,13 @@ def mix_sources(
     plan = written(plan_mix(docs, budget_tokens, entropy, repetition, block_docs, seed), "mix-cuts")
     columns = [name for name in docs.columns if name not in ("epoch", "mix_order")]
     own = docs.select(*columns).withColumn("_source", _source())
-    joined = _of_source(own, plan.select("_source", "passes", "cut_order", "cut_doc"))
-    at = _order(seed, F.col("passes"), _block(block_docs))
+    ends = plan.select("_source", *(F.col(name).alias(f"_mix_{name}") for name in ("passes", "cut_order", "cut_doc")))
+    joined = _of_source(own, ends)
+    passes, cut_order = F.col("_mix_passes"), F.col("_mix_cut_order")
+    at = _order(seed, passes, _block(block_docs))
     doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST))
-    more = (at < F.col("cut_order")) | ((at == F.col("cut_order")) & (doc <= F.col("cut_doc")))
-    copies = F.col("passes") + F.when(more & (F.col("cut_order") > LEAST), 1).otherwise(0)
+    more = (at < cut_order) | ((at == cut_order) & (doc <= F.col("_mix_cut_doc")))
+    copies = passes + F.when(more & (cut_order > LEAST), 1).otherwise(0)
     return (
         joined.withColumn("_copies", copies)
         .filter("_copies > 0")
