@@ -164,15 +164,24 @@ def fit_windows(toxic: list[str], ordinary: list[str], toxic_share: float) -> Mo
     }
     curve_bad = [t for i, t in enumerate(toxic) if i % 5 == 4] or toxic
     curve_good = [t for i, t in enumerate(ordinary) if i % 5 == 4] or ordinary
-    model.curve = _logistic(
-        np.array([scorer.features(t) for t in curve_bad + curve_good]),
-        np.array([1.0] * len(curve_bad) + [0.0] * len(curve_good)),
-        np.array([toxic_share / len(curve_bad)] * len(curve_bad)
-                 + [(1 - toxic_share) / len(curve_good)] * len(curve_good)),
-    )
+    x = np.array([scorer.features(t) for t in curve_bad + curve_good])
+    y = np.array([1.0] * len(curve_bad) + [0.0] * len(curve_good))
+    slopes = _logistic(x, y, np.array([toxic_share / len(curve_bad)] * len(curve_bad)
+                                      + [(1 - toxic_share) / len(curve_good)] * len(curve_good)))
+    model.curve = [*slopes[:-1], slopes[-1] - _threshold(x @ slopes[:-1] + slopes[-1], y)]
     return model
 
 
+def _threshold(z: np.ndarray, y: np.ndarray, false_alarm: float = 3.0) -> float:
+    """The cut with the least loss; a share of ordinary texts above it costs three of toxic ones below."""
+    values = np.unique(z)
+    cuts = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
+    bad, good = np.sort(z[y > 0]), np.sort(z[y == 0])
+    loss = np.searchsorted(bad, cuts) / len(bad) + false_alarm * (1 - np.searchsorted(good, cuts) / len(good))
+    best = cuts[np.isclose(loss, loss.min())]
+    return float(best[len(best) // 2])
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> list[float]:
     """Slopes and bias by Newton steps, each sample weighted, slightly shrunk."""
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
