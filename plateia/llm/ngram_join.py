@@ -6,17 +6,18 @@ sets share one of the first n - ceil(t n) + 1, their prefix.
 
 1. Classes with the same size and prefix are collapsed into one group.
 2. Groups meet through the prefix shingles they share. First each group meets
-   three pivots of every such list (least size, greatest size, least id), and each
-   member its group's representative. Pairs of fitting sizes, less those that a
+   three pivots of every such list: the least, the greatest, and the one with the
+   fewest rarer shingles, which is the least edited of near copies. Each member
+   meets its group's representative. Pairs of fitting sizes, less those that a
    bitmap of parities rules out, are verified on whole sets; links give components.
-3. Lists and groups whose members are all of one component are done: nothing they
-   could add would change a component. In the others, every pair of groups from
-   different components whose sizes and prefix places allow a link is expanded to
-   its members and verified. No pair of different components is left out.
-4. Components are formed anew from all links.
+3. Lists whose members are all of one component are closed: nothing in them could
+   change a component. In the others, members meet a few drawn pivots of other
+   components, and links give components anew.
+4. In lists still open, every pair of members from different components that sizes,
+   prefix places and parities do not rule out is verified. None is left out.
 
-So a group of near copies costs as many pairs as it has members, not their square,
-also where a third of all texts are near copies.
+So near copies of one text mostly cost as many pairs as there are copies; the last
+step compares bitmaps of open lists within the join and emits what may link.
 
 Rarity is counted in a fixed number of hash cells over all shingles of all
 documents. It only orders shingles: any order gives the same links, and a frequent
@@ -45,6 +46,7 @@ from plateia.llm.components import components
 CELL_BITS = 18
 FILTER_BITS = 25
 PARITY_BITS = 1024
+DRAWN = 8
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -99,13 +101,13 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, "<i8").tolist())
 
 
-def _parity(hashes: np.ndarray) -> bytes:
+def _parity(hashes: np.ndarray) -> np.ndarray:
     """Whether each of a fixed number of buckets holds an odd number of the hashes.
 
     The buckets in which two sets differ are at most the hashes in which they do.
     """
     counts = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
-    return np.packbits(counts & 1).tobytes()
+    return np.packbits(counts & 1).view(np.int64)
 
 
 def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -129,10 +131,11 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     names = ["doc_id", "n", "node", "check", "parity", "group", "prefix"]
-    kinds = [*[pa.int64()] * 4, pa.binary(), pa.int64(), pa.list_(pa.int64())]
+    kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
     return docs.mapInArrow(
         profile,
-        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity BINARY, group BIGINT, prefix ARRAY<BIGINT>",
+        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity ARRAY<BIGINT>, group BIGINT, "
+        "prefix ARRAY<BIGINT>",
     )
 
 
@@ -158,6 +161,18 @@ def _marked(masks: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return np.flatnonzero(masks[bit // 63] >> (bit % 63) & 1)
 
 
+def _bits(parity: str, name: str) -> list[Column]:
+    return [F.get(parity, F.lit(i)).alias(f"{name}{i}") for i in range(PARITY_BITS // 64)]
+
+
+def _few_differ(m: str, x: str, n: str, y: str, percent: int) -> Column:
+    """Whether two sets may link: 100 common >= percent * union, and union = common + differing."""
+    differing = sum(
+        (F.bit_count(F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))) for i in range(PARITY_BITS // 64)), F.lit(0)
+    )
+    return differing * (100 + percent) <= (F.col(m) + F.col(n)) * (100 - percent)
+
+
 class _Verifier:
     """Exact checks of pairs of classes, on whole shingle sets."""
 
@@ -166,26 +181,11 @@ class _Verifier:
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
         """Pairs that their parity bits do not rule out: linked sets differ in few hashes."""
-        percent = self.percent
-
-        def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    x, y = (
-                        np.frombuffer(b"".join(batch[side].to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                        for side in ("x", "y")
-                    )
-                    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-                    # 100 common >= percent * union, with union = common + differ
-                    total = batch["m"].to_numpy() + batch["n"].to_numpy()
-                    hit = np.flatnonzero((100 + percent) * differ <= (100 - percent) * total)
-                    yield batch.select(["a", "b"]).take(pa.array(hit))
-
         known = self.classes.groupBy("node").agg(F.min("parity").alias("parity"), F.min("n").alias("n"))
-        x = known.select(F.col("node").alias("a"), F.col("parity").alias("x"), F.col("n").alias("m"))
-        y = known.select(F.col("node").alias("b"), F.col("parity").alias("y"), "n")
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "m", "n")
-        return written(both.mapInArrow(few, "a BIGINT, b BIGINT"), "sifted-pairs")
+        x = known.select(F.col("node").alias("a"), F.col("n").alias("m"), *_bits("parity", "x"))
+        y = known.select(F.col("node").alias("b"), "n", *_bits("parity", "y"))
+        both = pairs.join(x, "a").join(y, "b")
+        return written(both.filter(_few_differ("m", "x", "n", "y", self.percent)).select("a", "b"), "sifted-pairs")
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
         """The hashes of the classes in ``nodes``, from their whole texts."""
@@ -259,6 +259,27 @@ def _postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
     return heads.mapInArrow(posted, "group BIGINT, node BIGINT, n BIGINT, place BIGINT, shingle BIGINT")
 
 
+def _open(lists: DataFrame, classes: DataFrame, crowd: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries (key, node, n, place, root) of prefix lists and of groups in several components.
+
+    Every member of a group stands in the lists of its group. Groups are lists of
+    their own, without places (-1). A list whose members are all of one component
+    is closed: nothing in it could change a component.
+    """
+    rooted = components(links)
+    members = classes.join(lists.select("group").distinct().unionByName(
+        crowd.select("group")).distinct(), "group", "left_semi").join(rooted, "node", "left").select(
+        "group", "node", "n", F.coalesce("root", "node").alias("root"))
+    members = written(members, "rooted-classes")
+    listed = lists.select("group", F.col("shingle").alias("key"), "place").join(members, "group")
+    own = members.join(crowd.select("group").distinct(), "group", "left_semi").withColumns({
+        "key": F.col("group"), "place": F.lit(-1).cast("bigint")})
+    names = ["key", "node", "n", "place", "root"]
+    entries = listed.select(*names).unionByName(own.select(*names))
+    mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return written(entries.join(mixed.select("key"), "key", "left_semi"), "open-lists")
+
+
 def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Profiles of all documents, and the (node, root) of every class that links with another."""
     rows = only(docs, doc_id=F.col("doc_id").cast("bigint"), text="text")
@@ -281,69 +302,47 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     met = lists.select("group").distinct()
     verifier = _Verifier(rows, classes, words, percent)
 
-    place = F.struct("n", "node")
-    pivots = lists.groupBy("shingle").agg(
-        F.min(place).alias("low"), F.max(place).alias("high"), F.min(F.struct("node", "n")).alias("first")
-    )
-    chosen = F.array(
-        F.struct("low.node", "low.n"), F.struct("high.node", "high.n"), F.struct("first.node", "first.n")
-    )
-    starred = lists.join(
-        pivots.select("shingle", F.explode(F.array_distinct(chosen)).alias("pivot")), "shingle"
-    ).filter(_fits(F.col("n"), F.col("pivot.n"), percent))
-    star = _pairs(
-        starred.select(F.col("node"), F.col("pivot.node").alias("other")).unionByName(
-            crowd.select("node", F.col("head").alias("other"))
-        ),
-        F.col("node"), F.col("other"),
-    )
-    first_links = verifier.links(star)
-    rooted = components(first_links)
-
-    # What is left: lists whose groups, or groups whose members, lie in several components.
-    placed = written(
-        classes.join(met.unionByName(crowd.select("group")).distinct(), "group", "left_semi")
-        .join(rooted, "node", "left")
-        .select("node", "group", F.coalesce("root", "node").alias("root")),
-        "placed-classes",
-    )
-    spread = placed.select("group", "root").distinct()
-    entries = lists.drop("node").join(spread, "group")
-    mixed = entries.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low <> high").select("shingle")
-    open_entries = written(entries.join(mixed, "shingle", "left_semi"), "open-lists")
-    roots = open_entries.select("shingle", "root").distinct()
-    root_pairs = roots.join(
-        roots.select("shingle", F.col("root").alias("other_root")), "shingle"
-    ).filter("root < other_root")
-    other = open_entries.select(
-        "shingle", *(F.col(c).alias(f"other_{c}") for c in ("group", "root", "n", "place"))
-    )
+    # First round: the least, the greatest and the most central group of each list.
+    entry = F.struct("n", "node")
+    pivots = lists.groupBy("shingle").agg(F.array_distinct(F.array(
+        F.min(entry), F.max(entry), F.min_by(entry, F.struct("place", "node")))).alias("pivots"))
+    starred = lists.join(pivots.select("shingle", F.explode("pivots").alias("pivot")), "shingle").filter(
+        _fits(F.col("n"), F.col("pivot.n"), percent))
+    star = starred.select("node", F.col("pivot.node").alias("other")).unionByName(
+        crowd.select("node", F.col("head").alias("other")))
+    found = verifier.links(_pairs(star, F.col("node"), F.col("other")))
+
+    # Second round: drawn groups of the lists that are still of several components.
+    entries = _open(lists, classes, crowd, found)
+    entry = F.struct("n", "node", "root")
+    drawn = [F.min_by(entry, F.xxhash64("node", F.lit(i))) for i in range(DRAWN)]
+    pivots = entries.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
+    starred = entries.join(pivots.select("key", F.explode("pivots").alias("pivot")), "key").filter(
+        (F.col("root") != F.col("pivot.root")) & _fits(F.col("n"), F.col("pivot.n"), percent))
+    more = verifier.links(_pairs(starred, F.col("node"), F.col("pivot.node")))
+    found = written(found.unionByName(more), "found-links")
+
+    # Last: every pair from different components that sizes, places and parities do not rule out.
+    entries = _open(lists, classes, crowd, found)
+    bits = classes.groupBy("node").agg(F.min("parity").alias("parity"))
+    entries = written(entries.join(bits, "node").select(
+        "key", "node", "n", "place", "root", *_bits("parity", "x")), "open-lists")
+    other = entries.select("key", *(
+        F.col(name).alias(f"other_{name}") for name in ("node", "n", "place", "root")),
+        *(F.col(f"x{i}").alias(f"y{i}") for i in range(PARITY_BITS // 64)))
     size, other_size = F.col("n"), F.col("other_n")
-    # The sets share at most what follows the first shingle they have in common, in either order.
+    # The sets share at most what lies on the same side of a shingle that they have in common.
     reach = 1 + F.least(size - F.col("place") - 1, other_size - F.col("other_place") - 1) + F.least(
         F.col("place"), F.col("other_place"))
-    group_pairs = (
-        open_entries.join(root_pairs, ["shingle", "root"])
-        .join(other, ["shingle", "other_root"])
+    rest = (
+        entries.join(other, "key")
+        .filter(F.col("root") < F.col("other_root"))
         .filter(_fits(size, other_size, percent))
-        .filter(reach * 100 >= percent * (size + other_size - reach))
-        .select("group", "root", "other_group", "other_root")
-        .distinct()
-    )
-    members = placed.select("node", "group", "root")
-    others = members.select(*(F.col(c).alias(f"other_{c}") for c in members.columns))
-    within = placed.join(
-        placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low <> high").select("group"), "group", "left_semi"
+        .filter((F.col("place") < 0) | (reach * 100 >= percent * (size + other_size - reach)))
+        .filter(_few_differ("n", "x", "other_n", "y", percent))
     )
-    inside = within.join(
-        within.select("group", F.col("root").alias("other_root"), F.col("node").alias("other_node")), "group"
-    ).filter("root < other_root").select("node", "other_node")
-    across = group_pairs.join(members, ["group", "root"]).join(others, ["other_group", "other_root"]).select(
-        "node", "other_node")
-    rest = verifier.links(_pairs(across.unionByName(inside), F.col("node"), F.col("other_node")))
-    return profile, components(first_links.unionByName(rest))
+    rest = verifier.links(_pairs(rest, F.col("node"), F.col("other_node")))
+    return profile, components(found.unionByName(rest))
 
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
