@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
-A paragraph is a run of up to twelve words that ends with a sentence or a line. Long texts join neighbouring paragraphs, up to one whose digest is
+A paragraph is a run of words of one line: eight, and then those up to the end of
+a sentence, nine more at most. What a line has left at its end is one too. Long texts join neighbouring paragraphs, up to one whose digest is
 divisible by a power of two, so that every text has about ``units`` keys and an
 edit changes the keys around it alone.
 
@@ -28,8 +29,11 @@ from pyspark.sql import functions as F
 
 from plateia.llm.common import written
 
-# Up to twelve words, then the marks that end them; possessive, so linear.
-PARAGRAPH = r"(?:[^\s.!?]++[^\S\n]*+){1,12}+[.!?]*+|[.!?]++"
+# Eight words and those to the end of a sentence, or the last words of a line; possessive, so linear.
+PARAGRAPH = (
+    r"(?:\S++[^\S\n]*+){8}+(?:[^\s.!?]++[^\S\n]++){0,8}+\S*+"
+    r"|(?:\S++[^\S\n]*+){1,7}+"
+)
 LEAST = -(1 << 63)
 SIZES = (24, 96, 384)
 HASHES = 3
