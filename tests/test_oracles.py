@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracles import connect, differences
+from plateia.catalog.entries import QUERIES
+from plateia.catalog.sql import ORACLES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +18,11 @@ def duck():
 
 
 def test_every_query_has_a_statement():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert differences(queries()[name](spark, FOLDER), duck, oracle_sql()[name]) is None
 
