@@ -1,9 +1,10 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
 A paragraph is a run of words of one line: eight, and then those up to the end of
-a sentence, nine more at most. What a line has left at its end is one too. Long texts join neighbouring paragraphs, up to one whose digest is
-divisible by a power of two, so that every text has about ``units`` keys and an
-edit changes the keys around it alone.
+a sentence, nine more at most. What a line has left at its end is one too. Long
+texts join neighbouring paragraphs, up to one whose digest is divisible by a power
+of two, so that every text has about ``units`` keys and an edit changes the keys
+around it alone.
 
 A sketch hashes each key to three of its cells; a cell holds a count, the exclusive
 or of its keys and that of their checks. Subtracting the sketches of two versions
