@@ -51,23 +51,25 @@ def bronze_flatten_videos(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _landed_videos(spark: SparkSession, folder: str) -> DataFrame:
-    return views.raw_videos(spark, folder, reads_text=False).select(
+    return views.raw_videos(spark, folder).select(
         "video_id", "source", "category"
     )
 
 
-def _landed_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return bronze.flatten_comments(
-        views.thread_pages(spark, folder),
-        views.reply_pages(spark, folder),
-        _landed_videos(spark, folder),
-        views.collection_errors(spark, folder),
+def _unique_comments(spark: SparkSession, folder: str) -> DataFrame:
+    return bronze.unique_comments(
+        views.thread_pages(spark, folder), views.reply_pages(spark, folder)
     )
 
 
 @query
 def bronze_flatten_comments(spark: SparkSession, folder: str) -> DataFrame:
-    return _landed_comments(spark, folder).drop("position")
+    rows = bronze.flatten_comments(
+        _unique_comments(spark, folder),
+        _landed_videos(spark, folder),
+        views.collection_errors(spark, folder),
+    )
+    return rows.drop("position")
 
 
 @query
@@ -78,7 +80,7 @@ def bronze_envelope_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def collection_window(spark: SparkSession, folder: str) -> DataFrame:
-    raw = views.raw_videos(spark, folder, reads_text=False).select(
+    raw = views.raw_videos(spark, folder).select(
         "video_id", to_utc(F.col("published_at")).alias("published_at")
     )
     return raw.filter(in_window(F.col("published_at"), *views.WINDOW))
@@ -88,11 +90,16 @@ def collection_window(spark: SparkSession, folder: str) -> DataFrame:
 def collection_status(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.collection_status(
         _landed_videos(spark, folder),
-        _landed_comments(spark, folder),
+        _unique_comments(spark, folder),
         views.collection_errors(spark, folder),
     )
 
 
+@query
+def collection_header(spark: SparkSession, folder: str) -> DataFrame:
+    return bronze.comment_header(collection_status(spark, folder))
+
+
 @query
 def channel_identifier_kind(spark: SparkSession, folder: str) -> DataFrame:
     prefix = F.when(F.col("lang") == "fr", "UC").when(F.col("lang") == "de", "@").otherwise("")
@@ -230,7 +237,7 @@ def edited_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 def _document_text(function: Callable[[Column], Column], name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return views.texts(spark, folder).select("doc_id", function(F.col("text")).alias(name))
+        return views.documents(spark, folder).select("doc_id", function(F.col("text")).alias(name))
 
     return run
 
@@ -252,6 +259,17 @@ def anonymize_page_urls(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def anonymize_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole text of every page, masked either way."""
+    masked = views.table(spark, folder, "pages").select(
+        "page_id",
+        privacy.anonymize_strict(F.col("html")).alias("strict"),
+        privacy.anonymize_loose(F.col("html")).alias("loose"),
+    )
+    return _digest(masked, "strict", "loose")
+
+
 # --- scoring -----------------------------------------------------------------
 
 
@@ -263,7 +281,7 @@ def star_to_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def emotion_hits(spark: SparkSession, folder: str) -> DataFrame:
     hits = emotion.keyword_hits(F.col("text"), defaults.EMOTION_LEXICON)
-    counted = views.texts(spark, folder).select("doc_id", hits.alias("hits"))
+    counted = views.documents(spark, folder).select("doc_id", hits.alias("hits"))
     return counted.select(
         "doc_id",
         *(F.col(f"hits.{n}").cast("bigint").alias(n.lower()) for n in defaults.EMOTION_LEXICON),
@@ -296,7 +314,7 @@ def emotion_fallback(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def score_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Texts through the injected predictor, then sentiment and emotion."""
-    written = views.texts(spark, folder).select(
+    written = views.documents(spark, folder).select(
         F.concat(F.lit("d"), "doc_id").alias("comment_id"),
         text.clean_text(F.col("text")).alias("text_clean"),
     )
@@ -312,18 +330,16 @@ def _enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.enrich_comments(views.scored(spark, folder), views.videos(spark, folder))
 
 
-def _enriched_rated(spark: SparkSession, folder: str, mentions: bool = False) -> DataFrame:
+def _enriched_rated(spark: SparkSession, folder: str) -> DataFrame:
     """Enriched comments for queries that read no comment text and no emotion."""
-    return enrichment.enrich_comments(
-        views.rated(spark, folder), views.videos(spark, folder, reads_text=mentions)
-    )
+    return enrichment.enrich_comments(views.rated(spark, folder), views.videos(spark, folder))
 
 
 @query
 def enriched_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Only relevant videos give context here, so some comments keep none."""
     enriched = enrichment.enrich_comments(
-        views.scored(spark, folder), _relevant_silver(spark, folder)
+        views.scored(spark, folder), _relevant_silver(spark, folder), check_repeats=False
     )
     return _digest(enriched, "text_clean")
 
@@ -340,7 +356,7 @@ def candidate_attribution(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def daily_volume(spark: SparkSession, folder: str) -> DataFrame:
     return engagement.daily_volume(
-        views.videos(spark, folder, reads_text=False), views.rated(spark, folder)
+        views.videos(spark, folder), views.rated(spark, folder)
     )
 
 
@@ -352,19 +368,21 @@ def candidate_engagement(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def channel_engagement(spark: SparkSession, folder: str) -> DataFrame:
     return engagement.channel_engagement(
-        views.videos(spark, folder, reads_text=False), views.rated(spark, folder)
+        views.videos(spark, folder), views.rated(spark, folder)
     )
 
 
 @query
 def channel_engagement_from_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """Every stage in one plan: snapshots, relevance, semi join, scoring, aggregation."""
-    relevant = _relevant_silver(spark, folder)
-    kept = silver.silver_comments(
-        views.raw_comments(spark, folder), relevant, views.PROCESSED_AT
-    )
+    """Every stage in one plan: snapshots, relevance, scoring, and one join of both.
+
+    The join on relevant videos also drops the comments of all others, so no
+    semi join before it has to find the relevant videos a second time.
+    """
+    kept = silver.cleaned_comments(views.raw_comments(spark, folder), views.PROCESSED_AT)
     return engagement.channel_engagement(
-        relevant, scoring.score_comments(kept, views.length_predictor(), lexicon=views.LEXICON)
+        _relevant_silver(spark, folder),
+        scoring.score_comments(kept, views.length_predictor(), lexicon=views.LEXICON),
     )
 
 
@@ -403,9 +421,13 @@ def sentiment_share(spark: SparkSession, folder: str) -> DataFrame:
     return overview.sentiment_share(views.rated(spark, folder))
 
 
+def _totals(spark: SparkSession, folder: str) -> DataFrame:
+    return overview.joined_totals(views.rated(spark, folder), views.videos(spark, folder))
+
+
 @query
 def home_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.home_kpis(_enriched_rated(spark, folder), _candidates(spark, folder))
+    return overview.home_kpis(_totals(spark, folder), _candidates(spark, folder))
 
 
 @query
@@ -415,12 +437,12 @@ def press_channel_ranking(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def channel_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.channel_summary(_enriched_rated(spark, folder))
+    return overview.channel_summary(_totals(spark, folder))
 
 
 @query
 def channel_detail(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.detail(overview.channel_summary(_enriched_rated(spark, folder)), "canal", "SRC7")
+    return overview.detail(overview.channel_summary(_totals(spark, folder)), "canal", "SRC7")
 
 
 @query
@@ -441,14 +463,14 @@ def emotion_histogram(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def weekly_video_counts(spark: SparkSession, folder: str) -> DataFrame:
     return overview.comments_per_video_week(
-        views.rated(spark, folder), views.videos(spark, folder, reads_text=False)
+        views.rated(spark, folder), views.videos(spark, folder)
     )
 
 
 @query
 def weekly_top_videos(spark: SparkSession, folder: str) -> DataFrame:
     return overview.weekly_top_videos(
-        views.rated(spark, folder), views.videos(spark, folder, reads_text=False)
+        views.rated(spark, folder), views.videos(spark, folder)
     )
 
 
@@ -459,7 +481,7 @@ def distinct_emotions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def distinct_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = _enriched_rated(spark, folder, mentions=True)
+    enriched = _enriched_rated(spark, folder)
     return overview.distinct_values(enriched, "candidato", defaults.NOT_MENTIONED)
 
 
@@ -480,7 +502,7 @@ def _candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return overview.top_candidates(_candidates(spark, folder), 2)
+    return overview.top_candidates(_candidates(spark, folder))
 
 
 @query
@@ -508,5 +530,5 @@ def sample_by_candidate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sample_size(spark: SparkSession, folder: str) -> DataFrame:
     return samples.sample_size(
-        _enriched_rated(spark, folder, mentions=True), 20, candidato="Zélia Braga", sentimento="POSITIVO"
+        _enriched_rated(spark, folder), 20, candidato="Zélia Braga", sentimento="POSITIVO"
     )

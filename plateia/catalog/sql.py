@@ -359,6 +359,14 @@ SELECT video_id, CASE WHEN failed THEN 'error' ELSE 'completed' END AS status,
 FROM (SELECT r.video_id, r.video_id IN (SELECT video_id FROM fx_failed) AS failed,
     count(l.comment_id) AS n
   FROM fx_raw r LEFT JOIN fx_landed l USING (video_id) GROUP BY 1)""",
+    "collection_header": f"""WITH {_VIDEOS}, {_THREADS}
+SELECT count(*) AS video_count, sum(comment_count)::BIGINT AS comment_count,
+  count(*) FILTER (WHERE status = 'error') AS error_count FROM (SELECT video_id, CASE WHEN failed THEN 'error' ELSE 'completed' END AS status,
+  CASE WHEN NOT failed THEN n END AS comment_count,
+  CASE WHEN failed THEN 'commentsDisabled' END AS reason
+FROM (SELECT r.video_id, r.video_id IN (SELECT video_id FROM fx_failed) AS failed,
+    count(l.comment_id) AS n
+  FROM fx_raw r LEFT JOIN fx_landed l USING (video_id) GROUP BY 1))""",
     "channel_identifier_kind": """
 SELECT doc_id, p || source AS identifier,
   CASE p WHEN 'UC' THEN 'id' WHEN '@' THEN 'handle' END AS kind
@@ -370,7 +378,7 @@ SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS published_at,
 SELECT run_id FROM fx_manifest GROUP BY 1
 HAVING count(DISTINCT file) FILTER (WHERE layer = 'gold') = 4
   AND count(*) FILTER (WHERE layer = 'silver') > 0""",
-    "run_counts": f"WITH {_MANIFEST} SELECT run_id, layer, file, row_count FROM fx_manifest",
+    "run_counts": f"WITH {_MANIFEST} SELECT run_id, layer, count(*) AS tables, sum(row_count)::BIGINT AS row_count FROM fx_manifest GROUP BY 1, 2",
     "source_category": f"""WITH {_VIDEOS}
 SELECT video_id, source, category, {_CONFIGURED} AS config_category FROM fx_raw""",
     "dedupe_latest": f"""WITH {_VIDEOS}
@@ -408,6 +416,9 @@ SELECT 'c' || event_id AS comment_id, event_id % 5 = 0 AS is_edited FROM events"
     "anonymize_loose": f"SELECT doc_id, {_masked('text', False)} AS text_anonimizado FROM documents",
     "anonymize_page_urls": f"""
 SELECT page_id, {_masked(_URL_TEXT, True)} AS strict, {_masked(_URL_TEXT, False)} AS loose
+FROM pages""",
+    "anonymize_pages": f"""
+SELECT page_id, md5({_masked("html", True)}) AS strict, md5({_masked("html", False)}) AS loose
 FROM pages""",
     "star_to_sentiment": f"""WITH {_COMMENTS}
 SELECT comment_id, sentimento, score_sentimento FROM fx_rated""",
@@ -493,7 +504,7 @@ SELECT DISTINCT channel_title AS tema FROM fx_enriched WHERE category = 'imprens
     "top_candidates": f"""WITH {_SILVER}, {_COMMENTS}, {_CANDIDATES}
 SELECT candidato, comentarios_total, score_sentimento_medio, sentimento_positivo,
   sentimento_negativo, sentimento_neutro
-FROM fx_candidates ORDER BY comentarios_total DESC, candidato LIMIT 2""",
+FROM fx_candidates ORDER BY comentarios_total DESC, candidato LIMIT 5""",
     "candidate_table": f"""WITH {_SILVER}, {_COMMENTS}, {_CANDIDATES}
 SELECT candidato, videos_total, comentarios_total, score_sentimento_medio FROM fx_candidates""",
     "candidate_detail": f"""WITH {_SILVER}, {_COMMENTS}, {_CANDIDATES}

@@ -40,6 +40,9 @@ TERMS = [
     {"type": "vice", "label": "Zélia Braga", "term": "menti"},
     {"type": "candidato", "label": "Ana Lima", "term": "attion"},
     {"type": "candidato", "label": "Íris Melo", "term": "ción"},
+    {"type": "candidato", "label": "Élio Cruz", "term": "idiot"},
+    {"type": "candidato", "label": "Érica Sol", "term": "clown"},
+    {"type": "vice", "label": "Ênio Paz", "term": "moron"},
     {"type": "termo_eleicao", "label": "", "term": "schlich"},
     {"type": "termo_eleicao", "label": "", "term": "réaux"},
     {"type": "termo_eleicao", "label": "", "term": "reaux"},
@@ -66,17 +69,6 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a scan with fewer splits than cores; larger scans stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents for queries whose cost is in the text."""
-    return _spread(documents(spark, folder), "doc_id")
-
-
 def naive(df: DataFrame) -> DataFrame:
     """Times as UTC without a zone, the form the comparing engine uses."""
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
@@ -99,10 +91,9 @@ def headline() -> Column:
     return F.substring_index("text", "\n", 1)
 
 
-def raw_videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
-    """Bronze video rows, one snapshot per document."""
-    source = texts(spark, folder) if reads_text else documents(spark, folder)
-    return source.select(
+def raw_videos(spark: SparkSession, folder: str) -> DataFrame:
+    """Bronze video rows, one snapshot per document; unused columns are not read."""
+    return documents(spark, folder).select(
         "source",
         F.when(F.substring("source", 4, 9).cast("int") % 4 == 0, "candidato")
         .otherwise("imprensa")
@@ -148,19 +139,17 @@ def channels(spark: SparkSession) -> DataFrame:
     return channel_table(spark, CHANNELS)
 
 
-def marked_videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
-    return mark_relevance(raw_videos(spark, folder, reads_text), TERMS, channels(spark))
+def marked_videos(spark: SparkSession, folder: str) -> DataFrame:
+    return mark_relevance(raw_videos(spark, folder), TERMS, channels(spark))
 
 
-def videos(spark: SparkSession, folder: str, reads_text: bool = True) -> DataFrame:
+def videos(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as a silver video; columns a query does not use cost nothing."""
-    return silver_videos(marked_videos(spark, folder, reads_text), TERMS, PROCESSED_AT)
+    return silver_videos(marked_videos(spark, folder), TERMS, PROCESSED_AT)
 
 
-def events(spark: SparkSession, folder: str, gets_text: bool = False) -> DataFrame:
+def events(spark: SparkSession, folder: str) -> DataFrame:
     """Comment measures of events, without text. Small values stand for blank comments."""
-    landed = table(spark, folder, "events")
-    source = _spread(landed, "event_id") if gets_text else landed
     stars = {"purchase": "5 stars", "click": "4 Stars", "view": "3 stars", "signup": "2 stars"}
     label = F.lit("1 star")
     for kind, name in stars.items():
@@ -170,7 +159,7 @@ def events(spark: SparkSession, folder: str, gets_text: bool = False) -> DataFra
     number = F.col("event_id")
     published = F.col("ts").cast("timestamp")
     updated = F.when(number % 5 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("ts"))
-    return source.select(
+    return table(spark, folder, "events").select(
         number.alias("event_id"),
         _name("c", number).alias("comment_id"),
         _name("v", F.col("user_id")).alias("video_id"),
@@ -200,7 +189,7 @@ def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze comment rows with landed text."""
     docs = documents(spark, folder)
     landed = _with_text(
-        events(spark, folder, gets_text=True),
+        events(spark, folder),
         docs.select("doc_id", "text"),
         docs.select(F.count(F.lit(1))).scalar(),
         "text",
@@ -224,9 +213,9 @@ def raw_comments(spark: SparkSession, folder: str) -> DataFrame:
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Silver comments with the classifier answer. Texts are cleaned before they fan out."""
     count = documents(spark, folder).select(F.count(F.lit(1))).scalar()
-    cleaned = texts(spark, folder).select("doc_id", clean_text(F.col("text")).alias("text_clean"))
+    cleaned = documents(spark, folder).select("doc_id", clean_text(F.col("text")).alias("text_clean"))
     return (
-        _with_text(events(spark, folder, gets_text=True), cleaned, count, "text_clean")
+        _with_text(events(spark, folder), cleaned, count, "text_clean")
         .withColumn("text_clean", F.coalesce("text_clean", F.lit("")))
         .withColumn("is_edited", is_edited(F.col("published_at"), F.col("updated_at")))
         .withColumn("source_file", F.lit("comments_1.json"))
@@ -283,7 +272,7 @@ def video_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit("public").alias("privacyStatus")).alias("status"),
     )
     pages = (
-        texts(spark, folder)
+        documents(spark, folder)
         .groupBy("source", F.floor(F.col("doc_id") / 50).alias("page"))
         .agg(F.collect_list(item).alias("items"))
     )
@@ -297,7 +286,7 @@ def playlist_pages(spark: SparkSession, folder: str) -> DataFrame:
         _name("v", F.col("doc_id")).alias("videoId"), published.alias("videoPublishedAt")
     )
     pages = (
-        texts(spark, folder)
+        documents(spark, folder)
         .groupBy("source", F.floor(F.col("doc_id") / 50).alias("page"))
         .agg(F.collect_list(F.struct(details.alias("contentDetails"))).alias("items"))
     )

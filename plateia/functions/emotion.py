@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from plateia import defaults
+from plateia.functions.text import emotion_folder, evaluated_once
 
 
 def stars_of(label: Column) -> Column:
@@ -41,17 +42,14 @@ def keyword_hits(text: Column, lexicon: Mapping[str, Sequence[str]]) -> Column:
     texts of 120. NULL has no hits.
     """
     searched = [(name, list(dict.fromkeys(words))) for name, words in lexicon.items()]
-    accents = list(zip(defaults.EMOTION_ACCENTED, defaults.EMOTION_PLAIN))
+    if not any(words for _, words in searched):
+        return F.struct(*(F.lit(0).alias(name) for name, _ in searched))
+    fold_one = emotion_folder()
 
+    @evaluated_once
     @F.arrow_udf(StructType([StructField(name, IntegerType()) for name, _ in searched]))
     def count(texts: pa.Array) -> pa.Array:
-        folded = []
-        for value in texts.to_pylist():
-            value = (value or "").lower()
-            if not value.isascii():
-                for accented, plain in accents:
-                    value = value.replace(accented, plain)
-            folded.append(value)
+        folded = [fold_one(value or "") for value in texts.to_pylist()]
         hits = [
             pa.array([sum([word in value for word in words]) for value in folded], pa.int32())
             for _, words in searched
@@ -104,8 +102,8 @@ def dominant_emotion(sentiment: Column, scores: Column) -> Column:
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body uses it.
 
-    Without it a filter on an emotion, pushed below the scoring, would repeat
-    the text checks and scores in every comparison.
+    Without it every comparison would repeat the text checks and scores. The
+    keyword search below it is protected by ``evaluated_once``.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 

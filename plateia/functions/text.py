@@ -40,12 +40,24 @@ def _folder() -> Callable[[str], str]:
 fold = _folder()
 
 
+def evaluated_once(function):
+    """An Arrow function that filters and repeated uses never evaluate a second time.
+
+    The optimizer pushes a filter below the column it reads and computes the
+    column again there, unless the column may differ between evaluations. Unused
+    columns are still pruned.
+    """
+    return function.asNondeterministic()
+
+
+@evaluated_once
 @F.arrow_udf(StringType())
 def _fold(texts: pa.Array) -> pa.Array:
     values = texts.to_pylist()
     return pa.array([None if text is None else fold(text) for text in values], pa.string())
 
 
+@evaluated_once
 @F.arrow_udf(StringType())
 def _clean(texts: pa.Array) -> pa.Array:
     compose = unicodedata.normalize
@@ -63,16 +75,34 @@ def clean_text(text: Column) -> Column:
 
 
 def fold_text(text: Column) -> Column:
-    """Case- and accent-free text. Only non-ASCII rows are sent to Python, in Arrow batches."""
+    """Case- and accent-free text. Python gets Arrow batches, with NULL for every ASCII text."""
     return F.coalesce(_fold(F.when(~is_ascii(text), text)), F.lower(text))
 
 
+def emotion_folder() -> Callable[[str], str]:
+    """Lower case, with the lexicon's own short accent table; carries the table with it."""
+    accents = list(zip(defaults.EMOTION_ACCENTED, defaults.EMOTION_PLAIN))
+
+    def fold_one(value: str) -> str:
+        value = value.lower()
+        if not value.isascii():
+            for accented, plain in accents:
+                value = value.replace(accented, plain)
+        return value
+
+    return fold_one
+
+
 def fold_for_emotion(text: Column) -> Column:
-    """Lower case, with the lexicon's own short accent table."""
-    lowered = F.lower(text)
-    return F.when(is_ascii(text), lowered).otherwise(
-        F.translate(lowered, defaults.EMOTION_ACCENTED, defaults.EMOTION_PLAIN)
-    )
+    """The fold under which keywords are searched; NULL stays NULL."""
+    fold_one = emotion_folder()
+
+    @evaluated_once
+    @F.arrow_udf(StringType())
+    def folded(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else fold_one(t) for t in texts.to_pylist()], pa.string())
+
+    return folded(text)
 
 
 def is_blank(text: Column) -> Column:

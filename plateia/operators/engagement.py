@@ -13,32 +13,37 @@ from pyspark.sql import functions as F
 from plateia import defaults
 from plateia.functions.numeric import percent, ratio_or_zero, sentiment_counts, total
 
-_COUNTS = [f"sentimento_{name.lower()}" for name in defaults.SENTIMENTS]
+SENTIMENT_TOTALS = [f"sentimento_{name.lower()}" for name in defaults.SENTIMENTS]
 
 
 def per_video(comments: DataFrame) -> DataFrame:
     """Additive comment measures per video; means come later from sums and counts."""
-    return comments.groupBy("video_id").agg(
+    return comments.groupBy("video_id").agg(*measures())
+
+
+def measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("_rows"),
         F.count("comment_id").alias("_comments"),
         F.sum("like_count").alias("_likes"),
         F.count("like_count").alias("_liked"),
         F.sum("score_sentimento").alias("_score"),
         F.count("score_sentimento").alias("_scored"),
         *sentiment_counts(F.col("sentimento")),
-    )
+    ]
 
 
 def _sentiment_shares(table: DataFrame) -> DataFrame:
     return table.withColumns(
         {
             f"{name}_pct": F.coalesce(percent(F.col(name), F.col("comentarios_total")), F.lit(0.0))
-            for name in _COUNTS
+            for name in SENTIMENT_TOTALS
         }
     )
 
 
 def _summed_counts() -> list[Column]:
-    return [total(F.col(name)).alias(name) for name in _COUNTS]
+    return [total(F.col(name)).alias(name) for name in SENTIMENT_TOTALS]
 
 
 def candidate_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:

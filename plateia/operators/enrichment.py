@@ -37,10 +37,19 @@ def candidate_of(attribute_mentions: bool = True) -> Column:
 
 
 def enrich_comments(
-    comments: DataFrame, videos: DataFrame, attribute_mentions: bool = True
+    comments: DataFrame,
+    videos: DataFrame,
+    attribute_mentions: bool = True,
+    check_repeats: bool = True,
 ) -> DataFrame:
-    """Every comment with its video's channel, category and mentions, and a candidate."""
-    context = one_row_per_video(videos.select("video_id", *_CONTEXT))
+    """Every comment with its video's channel, category and mentions, and a candidate.
+
+    The check for repeated videos evaluates ``videos`` a second time. Leave it out
+    where that is a plan of its own that ends in ``keep_latest`` by ``video_id``.
+    """
+    context = videos.select("video_id", *_CONTEXT)
+    if check_repeats:
+        context = one_row_per_video(context)
     own = comments.drop("source", "category")
     return (
         own.join(context, "video_id", "left")

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateia import defaults
-from plateia.functions.numeric import ratio_or_zero, sentiment_counts, total
+from plateia.functions.numeric import ratio_or_zero, total
+from plateia.operators.engagement import SENTIMENT_TOTALS, measures, per_video
+
+_CHANNEL = ["channel_title", "category"]
 
 
 def _press(enriched: DataFrame) -> DataFrame:
@@ -36,22 +39,26 @@ def sentiment_share(comments: DataFrame) -> DataFrame:
     )
 
 
-def home_kpis(enriched: DataFrame, candidates: DataFrame) -> DataFrame:
+def video_totals(enriched: DataFrame) -> DataFrame:
+    """Comment measures per video, with its channel, of a written table of enriched comments."""
+    return enriched.groupBy("video_id", *_CHANNEL).agg(*measures())
+
+
+def joined_totals(comments: DataFrame, videos: DataFrame) -> DataFrame:
+    """The same of comments not yet enriched: reduced first, so the join meets no hot video."""
+    return per_video(comments).join(videos.select("video_id", *_CHANNEL), "video_id", "left")
+
+
+def home_kpis(totals: DataFrame, candidates: DataFrame) -> DataFrame:
     """One row: candidates, comments, distinct videos, distinct press channels, likes.
 
-    Comments shrink to one row per video and channel before the two distinct
-    counts, which would otherwise double every comment row.
+    ``totals`` has one row per video, so the two distinct counts double no comments.
     """
     press_title = F.when(F.col("category") == defaults.PRESS_CATEGORY, F.col("channel_title"))
-    reduced = (
-        enriched.withColumn("_press_title", press_title)
-        .groupBy("video_id", "_press_title")
-        .agg(F.count(F.lit(1)).alias("_comments"), F.sum("like_count").alias("_likes"))
-    )
-    return reduced.agg(
-        total(F.col("_comments")).alias("comentarios"),
+    return totals.agg(
+        total(F.col("_rows")).alias("comentarios"),
         F.count_distinct("video_id").alias("videos"),
-        F.count_distinct("_press_title").alias("canais_midia"),
+        F.count_distinct(press_title).alias("canais_midia"),
         total(F.col("_likes")).alias("likes_total"),
     ).select(candidates.select(F.count(F.lit(1))).scalar().alias("candidatos"), "*")
 
@@ -69,16 +76,16 @@ def press_channel_ranking(enriched: DataFrame) -> DataFrame:
     )
 
 
-def channel_summary(enriched: DataFrame) -> DataFrame:
+def channel_summary(totals: DataFrame) -> DataFrame:
     """Videos, comments, likes and sentiment counts per press channel."""
     return (
-        _press(enriched)
+        _press(totals)
         .groupBy(F.col("channel_title").alias("canal"))
         .agg(
             F.count_distinct("video_id").alias("videos_total"),
-            F.count("comment_id").alias("comentarios_total"),
-            total(F.col("like_count")).alias("likes_total"),
-            *sentiment_counts(F.col("sentimento")),
+            total(F.col("_comments")).alias("comentarios_total"),
+            total(F.col("_likes")).alias("likes_total"),
+            *(total(F.col(name)).alias(name) for name in SENTIMENT_TOTALS),
         )
         .orderBy(F.desc("comentarios_total"), "canal")
     )

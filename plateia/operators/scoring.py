@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plateia import defaults, schemas
 from plateia.functions import emotion
-from plateia.functions.text import is_blank
+from plateia.functions.text import evaluated_once, is_blank
 
 # A predictor labels a list of texts; its factory runs once per Python worker task.
 Predictor = Callable[[list[str]], Iterable[tuple[str, float]]]
@@ -23,28 +22,6 @@ SCORE_COLUMNS = [
 ]
 
 
-def transformer_predictor(
-    model: str | None = None, batch_size: int = defaults.CLASSIFIER_BATCH
-) -> PredictorFactory:
-    """Factory of a star-rating text classifier; needs ``transformers`` on the executors."""
-    name = model or os.getenv("SENTIMENT_MODEL_NAME", defaults.CLASSIFIER_MODEL)
-
-    def load() -> Predictor:
-        try:
-            from transformers import pipeline
-        except ImportError as error:
-            raise RuntimeError("install transformers and torch on the executors") from error
-        classify = pipeline("sentiment-analysis", model=name, device=-1)
-
-        def predict(texts: list[str]) -> Iterable[tuple[str, float]]:
-            answers = classify(texts, truncation=True, batch_size=batch_size)
-            return [(answer["label"], answer["score"]) for answer in answers]
-
-        return predict
-
-    return load
-
-
 def with_prediction(
     comments: DataFrame,
     factory: PredictorFactory,
@@ -59,6 +36,7 @@ def with_prediction(
     """
     schemas.require_columns(comments, [text], "scoring")
 
+    @evaluated_once
     @F.pandas_udf("label string, confidence double")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = factory()

@@ -58,7 +58,14 @@ def silver_comments(
     last_by: Sequence[str] = SNAPSHOT_ORDER,
 ) -> DataFrame:
     """Latest version of each comment on a silver video, cleaned."""
-    latest = keep_latest(comments_of(comments, videos), ["comment_id"], last_by)
+    return cleaned_comments(comments_of(comments, videos), processed_at, last_by)
+
+
+def cleaned_comments(
+    comments: DataFrame, processed_at: datetime, last_by: Sequence[str] = SNAPSHOT_ORDER
+) -> DataFrame:
+    """Latest version of each comment, cleaned."""
+    latest = keep_latest(comments, ["comment_id"], last_by)
     cleaned = (
         latest.withColumn("text_clean", clean_text(F.col("text")))
         .withColumn("published_at", to_utc(F.col("published_at")))

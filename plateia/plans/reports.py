@@ -13,7 +13,7 @@ Report = dict[str, DataFrame]
 
 def home(enriched: DataFrame, candidates: DataFrame) -> Report:
     return {
-        "kpis": overview.home_kpis(enriched, candidates),
+        "kpis": overview.home_kpis(overview.video_totals(enriched), candidates),
         "sentiments": overview.sentiment_share(enriched),
         "top_candidates": overview.top_candidates(candidates),
         "press_channels": overview.press_channel_ranking(enriched),
@@ -58,7 +58,7 @@ def candidates(
 
 
 def channels(enriched: DataFrame, timeline: DataFrame, channel: str | None = None) -> Report:
-    summary = overview.channel_summary(enriched)
+    summary = overview.channel_summary(overview.video_totals(enriched))
     page = {
         "summary": summary,
         "names": overview.distinct_values(timeline, "tema"),

@@ -170,6 +170,10 @@ COMMENT_ENVELOPE = _struct(
 )
 
 # Landed API pages: the raw items of one response, with the request they answer.
+CHANNEL_PAGE = _struct(
+    source=TEXT, page=COUNT, items=T.ArrayType(_struct(id=TEXT, snippet=_struct(title=TEXT)))
+)
+COLLECTION_ERROR = _struct(video_id=TEXT, reason=TEXT)
 VIDEO_PAGE = _struct(
     source=TEXT,
     page=COUNT,

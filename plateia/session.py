@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -36,18 +33,3 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Shared folder the cluster names for written intermediates.
-
-    Only a local master, as in tests, may fall back to a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.path.join(tempfile.mkdtemp(prefix="plateia-"), "shared")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder

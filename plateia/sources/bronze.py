@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,11 @@ def read_bronze_comments(spark: SparkSession, paths: Paths) -> DataFrame:
     return envelope_rows(read_envelopes(spark, paths, schemas.COMMENT_ENVELOPE), "comments")
 
 
+def read_pages(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+    """Landed API pages, one JSON object a line, of any number of files or globs."""
+    return spark.read.schema(schema).json(paths, mode="FAILFAST")
+
+
 def read_video_status(spark: SparkSession, paths: Paths) -> DataFrame:
     return envelope_rows(read_envelopes(spark, paths, schemas.COMMENT_ENVELOPE), "video_status")
 
@@ -81,6 +86,25 @@ def _count(value: Column) -> Column:
     return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def counted(df: DataFrame, landed: Observation | None) -> DataFrame:
+    """``df``, counted as ``landed`` while the query that uses it runs."""
+    return df if landed is None else df.observe(landed, F.count(F.lit(1)).alias("landed"))
+
+
+def resolved_channels(pages: DataFrame, channels: DataFrame) -> DataFrame:
+    """Configured channels with the id and title that their landed channel page names.
+
+    Channels without a page keep neither and collect no videos.
+    """
+    found = _items(pages, "source").groupBy("source").agg(F.min_by("item", "position").alias("item"))
+    return channels.join(found, "source").select(
+        "source",
+        "category",
+        F.col("item.id").alias("channel_id"),
+        F.col("item.snippet.title").alias("channel_title"),
+    )
+
+
 def playlist_videos(playlist: DataFrame, start: str | datetime, end: str | datetime) -> DataFrame:
     """Published videos of each source inside the inclusive window, once per video.
 
@@ -105,14 +129,18 @@ def flatten_videos(
     channels: DataFrame,
     start: str | datetime,
     end: str | datetime,
+    landed: Observation | None = None,
 ) -> DataFrame:
     """Bronze rows of landed video pages.
 
+    Items of unknown sources or outside the window give no row; ``landed``
+    observes how many items there were, and so how many were left out.
+
     ``channels`` gives each source its category, channel id and title. The
     publication time is the playlist's; absent counts are 0, an absent
     description is ''.
     """
-    item = _items(pages, "source").withColumn("video_id", F.col("item.id"))
+    item = counted(_items(pages, "source"), landed).withColumn("video_id", F.col("item.id"))
     return (
         item.join(playlist_videos(playlist, start, end), ["source", "video_id"])
         .join(channels.select("source", "category", "channel_id", "channel_title"), "source")
@@ -144,17 +172,11 @@ def _comment(api: str) -> list[Column]:
     ]
 
 
-def flatten_comments(
-    threads: DataFrame,
-    replies: DataFrame,
-    videos: DataFrame,
-    errors: DataFrame | None = None,
-) -> DataFrame:
-    """Bronze rows of landed thread and reply pages, each comment of a video once.
+def unique_comments(threads: DataFrame, replies: DataFrame) -> DataFrame:
+    """Each comment of a video once, from landed thread and reply pages.
 
-    Top-level comments have no parent. Source and category come from the video.
-    Videos in ``errors`` contribute nothing, however many pages had landed.
-    Reply text is kept as landed and may hold markup.
+    Top-level comments have no parent. Reply text is kept as landed and may hold
+    markup.
     """
     top_level = _items(threads, "video_id").select(
         "video_id",
@@ -165,11 +187,26 @@ def flatten_comments(
     answers = _items(replies, "video_id", "parent_id").select(
         "video_id", "parent_id", "position", *_comment("item")
     )
-    landed = top_level.unionByName(answers)
+    return keep_latest(top_level.unionByName(answers), ["video_id", "comment_id"], ["position"])
+
+
+def flatten_comments(
+    unique: DataFrame,
+    videos: DataFrame,
+    errors: DataFrame | None = None,
+    landed: Observation | None = None,
+) -> DataFrame:
+    """Bronze rows of ``unique_comments``, with the source and category of their video.
+
+    Videos in ``errors`` contribute nothing, however many pages had landed. What
+    is known of a video is put together first, so comments meet it in one join on
+    ``video_id`` alone, whose large side adaptive planning can split. Comments of
+    other videos give no row; ``landed`` observes how many comments there were.
+    """
+    known = videos.select("video_id", "source", "category")
     if errors is not None:
-        landed = landed.join(errors.select("video_id"), "video_id", "left_anti")
-    unique = keep_latest(landed, ["video_id", "comment_id"], ["position"])
-    return unique.join(videos.select("video_id", "source", "category"), "video_id").select(
+        known = known.join(errors.select("video_id"), "video_id", "left_anti")
+    return counted(unique, landed).join(known, "video_id").select(
         "comment_id",
         "video_id",
         "source",
@@ -186,7 +223,11 @@ def flatten_comments(
 def collection_status(
     videos: DataFrame, comments: DataFrame, errors: DataFrame | None = None
 ) -> DataFrame:
-    """Ledger of a collection: completed with a comment count, or error with a reason."""
+    """Ledger of a collection: completed with a comment count, or error with a reason.
+
+    ``comments`` are ``unique_comments`` before any join, so a hot video is
+    counted with map-side combination.
+    """
     counts = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("_comments"))
     ledger = videos.select("video_id").join(counts, "video_id", "left")
     if errors is None:
@@ -202,6 +243,15 @@ def collection_status(
     )
 
 
+def comment_header(ledger: DataFrame) -> DataFrame:
+    """Counts of a comment collection: videos, comments, and videos that failed."""
+    return ledger.agg(
+        F.count(F.lit(1)).alias("video_count"),
+        F.coalesce(F.sum("comment_count"), F.lit(0)).cast("bigint").alias("comment_count"),
+        F.count_if(F.col("status") == "error").alias("error_count"),
+    )
+
+
 # --- bronze tables -----------------------------------------------------------
 
 
@@ -212,25 +262,43 @@ def write_bronze(
     run_id: str,
     collected_at: datetime,
     window: tuple[str | datetime, str | datetime],
+    landed: Observation | None = None,
+    **header: str | int | None,
 ) -> str:
-    """Write bronze rows as JSON lines, and then the header that counts them."""
+    """Write bronze rows as JSON lines, and then their header.
+
+    The rows are counted while they are written. With ``landed``, observed on the
+    same query, the header also has the ``rejected_count`` of rows left out.
+    """
     start, end = window_bounds(*window)
     path = f"{root}/bronze/{name}/run_id={run_id}"
     stamped = rows.withColumn("source_file", F.lit(f"{name}_{run_id}.json")).withColumn(
         "collected_at", F.lit(collected_at.isoformat())
     )
-    stamped.write.mode("overwrite").json(path)
-    spark = rows.sparkSession
-    counted = spark.read.schema(stamped.schema).json(path).agg(
-        F.lit(collected_at.isoformat()).alias("collected_at"),
-        F.lit(start.isoformat()).alias("collection_start"),
-        F.lit(end.isoformat()).alias("collection_end"),
-        F.count(F.lit(1)).alias("row_count"),
-    )
-    counted.write.mode("overwrite").json(f"{root}/bronze/{name}_header/run_id={run_id}")
+    written = Observation()
+    stamped.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+    fields = {
+        "collected_at": collected_at.isoformat(),
+        "collection_start": start.isoformat(),
+        "collection_end": end.isoformat(),
+        "row_count": written.get["rows"],
+        **header,
+    }
+    if landed is not None:
+        fields["rejected_count"] = landed.get["landed"] - fields["row_count"]
+    write_header(rows.sparkSession, root, name, run_id, fields)
     return path
 
 
+def write_header(
+    spark: SparkSession, root: str, name: str, run_id: str, fields: dict[str, str | int | None]
+) -> None:
+    values = {key: value for key, value in fields.items() if value is not None}
+    spark.range(1, numPartitions=1).select(
+        *(F.lit(value).alias(key) for key, value in values.items())
+    ).write.mode("overwrite").json(f"{root}/bronze/{name}_header/run_id={run_id}")
+
+
 def read_bronze_table(
     spark: SparkSession, root: str, name: str, schema: T.StructType, run_id: str | None = None
 ) -> DataFrame:

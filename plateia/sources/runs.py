@@ -16,6 +16,26 @@ def table_path(root: str, layer: str, name: str, run_id: str) -> str:
     return f"{root}/{layer}/{name}/run_id={run_id}"
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the store it is in, whichever store that is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _entry(root: str, run_id: str, layer: str, name: str) -> str:
+    return f"{root}/manifest/{run_id}/{layer}.{name}"
+
+
+def withdraw_run(spark: SparkSession, root: str, run_id: str) -> None:
+    """Take every entry of a run out of the manifest, before the run is repeated.
+
+    Until the repeat has written a table and listed it again, no reader counts
+    it: a repeat that fails half-way leaves an incomplete run.
+    """
+    place, store = _place(spark, f"{root}/manifest/{run_id}")
+    store.delete(place, True)
+
+
 def record(spark: SparkSession, root: str, layer: str, name: str, run_id: str, rows: int) -> None:
     """List a finished table. A repeated run replaces its own entry only."""
     entry = spark.createDataFrame(
@@ -23,7 +43,7 @@ def record(spark: SparkSession, root: str, layer: str, name: str, run_id: str, r
     )
     entry.withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode(
         "overwrite"
-    ).json(f"{root}/manifest/{run_id}/{layer}.{name}")
+    ).json(_entry(root, run_id, layer, name))
 
 
 def write_run(
@@ -41,6 +61,8 @@ def write_run(
     this run is replaced. The recorded count reads Parquet footers only.
     """
     path = table_path(root, layer, name, run_id)
+    place, store = _place(df.sparkSession, _entry(root, run_id, layer, name))
+    store.delete(place, True)
     schemas.conform(df, schema).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     spark = df.sparkSession
     written = spark.read.schema(schema).parquet(path)
@@ -79,18 +101,18 @@ def latest_run(manifest: DataFrame, required: Sequence[str] = defaults.REQUIRED_
 
 
 def run_counts(manifest: DataFrame) -> DataFrame:
-    """Rows per run and table."""
-    return manifest.select("run_id", "layer", "file", "row_count")
+    """Tables and rows per run and layer."""
+    return manifest.groupBy("run_id", "layer").agg(
+        F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("row_count")
+    )
 
 
 def read_run(
     spark: SparkSession, root: str, layer: str, name: str, run_id: str, schema: T.StructType
 ) -> DataFrame:
-    """A table of one run. Only that run's folder is listed and read."""
-    listed = read_manifest(spark, root).filter(
-        (F.col("run_id") == run_id) & (F.col("layer") == layer) & (F.col("file") == name)
-    )
-    if listed.isEmpty():
+    """A table of one run. Its own manifest entry is looked up; no other is listed or read."""
+    entry, store = _place(spark, f"{_entry(root, run_id, layer, name)}/_SUCCESS")
+    if not store.exists(entry):
         raise FileNotFoundError(f"run {run_id} has no {layer} table {name}")
     return spark.read.schema(schema).parquet(table_path(root, layer, name, run_id))
 

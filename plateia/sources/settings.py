@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,18 @@ def read_channels(spark: SparkSession, path: str) -> list[dict[str, str]]:
     return _read_entries(spark, path, schemas.CHANNELS_FILE, "channels")
 
 
+def read_channels_if_any(spark: SparkSession, path: str) -> list[dict[str, str]]:
+    """The channel settings, or none where the file is absent or unreadable.
+
+    Without settings every source is of unknown category, so that every video is
+    judged by its terms. Use it where a run must not stop for its settings.
+    """
+    try:
+        return read_channels(spark, path)
+    except (PySparkException, Py4JJavaError, ValueError):
+        return []
+
+
 def read_terms(spark: SparkSession, path: str) -> list[dict[str, str]]:
     return _read_entries(spark, path, schemas.TERMS_FILE, "relevance_terms")
 

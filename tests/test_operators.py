@@ -239,7 +239,7 @@ def test_reports_on_nothing(spark):
     assert tuple(overview.sentiment_share(none).first()) == (0, 0, 0, 0.0, 0.0, 0.0)
     enriched = enrichment.enrich_comments(none, videos)
     table = engagement.candidate_engagement(videos.limit(0), none)
-    assert tuple(overview.home_kpis(enriched, table).first()) == (0, 0, 0, 0, 0)
+    assert tuple(overview.home_kpis(overview.video_totals(enriched), table).first()) == (0, 0, 0, 0, 0)
     assert overview.weekly_top_videos(none, videos).count() == 0
 
 

@@ -1,9 +1,11 @@
+import json
 from datetime import UTC, datetime
 
 import pytest
 
 from plateia import defaults, schemas
 from plateia.plans import reports
+from plateia.plans.collection import LandedPages, collect
 from plateia.plans.pipeline import run_pipeline
 from plateia.sources import runs
 
@@ -84,6 +86,75 @@ def test_a_run_without_rows_writes_typed_tables(spark, tmp_path):
     assert tables["canais_timeline"].columns == schemas.CHANNEL_TIMELINE.names
 
 
+def test_a_failed_repeat_is_not_complete(spark, tmp_path):
+    root = str(tmp_path)
+    run_pipeline(spark, root, "R1", *_bronze(spark), _factory())
+    assert runs.latest_run(runs.read_manifest(spark, root)) == "R1"
+
+    def broken():
+        def predict(texts):
+            raise RuntimeError("no model")
+        return predict
+
+    with pytest.raises(Exception, match="no model"):
+        run_pipeline(spark, root, "R1", *_bronze(spark), broken)
+    manifest = runs.read_manifest(spark, root)
+    assert runs.complete_runs(manifest).count() == 0
+    assert {r.layer for r in manifest.collect()} == {"silver"}
+
+
+def _pages(folder, **kinds):
+    for kind, rows in kinds.items():
+        (folder / kind).mkdir()
+        text = "\n".join(json.dumps(row, ensure_ascii=False) for row in rows)
+        (folder / kind / "pages.json").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_from_landed_pages_to_gold(spark, tmp_path):
+    def comment(name, text):
+        return {"id": name, "snippet": {"publishedAt": "2026-09-03T10:00:00Z", "updatedAt": "2026-09-03T10:00:00Z",
+                                        "textDisplay": text, "likeCount": 1}}
+
+    def video(name, title):
+        return {"id": name, "snippet": {"title": title, "description": ""}, "statistics": {"viewCount": "7"},
+                "status": {"privacyStatus": "public"}}
+
+    def listed(name, day):
+        return {"contentDetails": {"videoId": name, "videoPublishedAt": f"2026-09-{day}T10:00:00Z"}}
+
+    def thread(name, text):
+        return {"snippet": {"topLevelComment": comment(name, text), "totalReplyCount": 0}}
+
+    (tmp_path / "landing").mkdir()
+    landing = _pages(
+        tmp_path / "landing",
+        channels=[{"source": "O POVO", "page": 0, "items": [{"id": "UC2", "snippet": {"title": "O POVO"}}]}],
+        playlist=[{"source": "O POVO", "page": 0, "items": [listed("v1", "01"), listed("v2", "02"), listed("late", "28")]}],
+        videos=[{"source": "O POVO", "page": 0, "items": [video("v1", "Debate com Elmano"), video("v2", "Debate"), video("late", "Debate")]},
+                {"source": "unknown", "page": 0, "items": [video("v9", "Debate")]}],
+        threads=[{"video_id": "v1", "page": 0, "items": [thread("c1", "bom"), thread("c2", "ruim")]},
+                 {"video_id": "v2", "page": 0, "items": [thread("c3", "bom")]},
+                 {"video_id": "gone", "page": 0, "items": [thread("c4", "bom")]}],
+        replies=[{"video_id": "v1", "parent_id": "c1", "page": 0, "items": [comment("c1.r", "bom")]}],
+        errors=[{"video_id": "v2", "reason": "commentsDisabled"}],
+    )
+    root, when = str(tmp_path / "root"), datetime(2026, 9, 7, tzinfo=UTC)
+    channels = [{"source": "O POVO", "category": "imprensa", "identifier": "UC2"}]
+    bronze = collect(spark, root, "R1", LandedPages.read(spark, landing), channels, ("2026-09-01", "2026-09-05"), when)
+    assert [df.count() for df in bronze] == [2, 3]
+    header = spark.read.json(f"{root}/bronze/videos_header/run_id=R1").first()
+    assert (header.row_count, header.rejected_count) == (2, 2)
+    header = spark.read.json(f"{root}/bronze/comments_header/run_id=R1").first()
+    assert (header.video_count, header.comment_count, header.error_count, header.rejected_count) == (2, 3, 1, 2)
+    assert header.source_videos_file == "videos_R1.json"
+    ledger = spark.read.json(f"{root}/bronze/comments_status/run_id=R1")
+    assert {r.video_id: r.status for r in ledger.collect()} == {"v1": "completed", "v2": "error"}
+    tables = run_pipeline(spark, root, "R1", *bronze, _factory(), channels=channels, processed_at=when)
+    assert tables["comentarios_gold_enriched"].count() == 3
+    assert runs.latest_run(runs.read_manifest(spark, root)) == "R1"
+
+
 def test_a_run_can_be_repeated(spark, tmp_path):
     root = str(tmp_path)
     for _ in range(2):

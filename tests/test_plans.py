@@ -1,12 +1,16 @@
 """Plan shapes the scale behaviour depends on."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from plateia.catalog import views
 from plateia.catalog.entries import QUERIES
-from plateia.operators import relevance
+from plateia.operators import overview, relevance
 from plateia.operators.enrichment import enrich_comments
+from plateia.operators.latest import keep_latest
+from plateia.sources import bronze
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -38,7 +42,7 @@ def test_queries_without_text_read_none(spark, name):
 
 
 def test_channel_settings_join_shuffles_nothing(spark):
-    raw = views.raw_videos(spark, FOLDER, reads_text=False).select("video_id", "source")
+    raw = views.raw_videos(spark, FOLDER).select("video_id", "source")
     plan = _plan(relevance.with_source_category(raw, views.channels(spark)))
     assert "BroadcastHashJoin" in plan and "LocalTableScan" in plan and "hashpartitioning" not in plan
 
@@ -54,6 +58,65 @@ def test_latest_per_key_combines_before_the_shuffle(spark):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_text_functions_run_once_per_input(spark, name):
+    """No function of texts is evaluated again below a filter or in a second copy of its input."""
+    plan = _plan(QUERIES[name](spark, FOLDER))
+    nodes = re.findall(r"EvalPython \[(.*?)\], \[", plan)
+    calls = [re.sub(r"#\d+L?", "", call) for node in nodes for call in node.split("), ")]
+    assert len(calls) == len(set(calls)), calls
+
+
+SMALL_SKEW = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+def _hot(spark):
+    """60,000 comments, of which one video has a third."""
+    ids = spark.range(0, 60_000, 1, 16)
+    video = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)
+    return ids.select(
+        F.concat(F.lit("c"), "id").alias("comment_id"), F.concat(F.lit("v"), video).alias("video_id"),
+        F.lit(1).cast("bigint").alias("like_count"), F.lit("POSITIVO").alias("sentimento"),
+        F.lit(0.5).alias("score_sentimento"),
+    )
+
+
+def _videos(spark):
+    return spark.range(997).select(
+        F.concat(F.lit("v"), "id").alias("video_id"), F.lit("T").alias("channel_title"),
+        F.lit("S").alias("source"), F.lit("imprensa").alias("category"),
+    )
+
+
+def test_a_hot_video_is_split_when_comments_are_flattened(spark, conf):
+    conf(SMALL_SKEW)
+    landed = _hot(spark).withColumns({
+        "position": F.lit(0).cast("bigint"), "parent_id": F.lit(None).cast("string"),
+        "published_at": F.lit(""), "updated_at": F.lit(""), "text": F.col("comment_id"),
+    })
+    unique = keep_latest(landed, ["video_id", "comment_id"], ["position"])
+    flat = bronze.flatten_comments(unique, _videos(spark), _videos(spark).limit(0))
+    assert len(flat.collect()) == 60_000
+    assert "skew=true" in _plan(flat)
+    counts = bronze.collection_status(_videos(spark), unique)
+    assert max(r.comment_count for r in counts.collect()) >= 20_000
+    assert "partial_count" in _plan(counts)
+
+
+def test_a_hot_video_is_reduced_before_the_report_joins(spark):
+    totals = overview.joined_totals(_hot(spark), _videos(spark))
+    assert overview.channel_summary(totals).first().comentarios_total == 60_000
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate [video_id")
+
+
 def test_top_rows_need_no_global_sort(spark):
     assert "TakeOrderedAndProject" in _plan(QUERIES["sample_by_candidate"](spark, FOLDER))
 

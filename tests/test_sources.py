@@ -110,12 +110,14 @@ def test_flatten_landed_comment_pages(spark):
         "video_id STRING, source STRING, category STRING",
     )
     errors = spark.createDataFrame([("bad", "commentsDisabled")], "video_id STRING, reason STRING")
-    comments = bronze.flatten_comments(threads, replies, videos, errors)
+    unique = bronze.unique_comments(threads, replies)
+    comments = bronze.flatten_comments(unique, videos, errors)
     rows = {r.comment_id: r for r in comments.collect()}
     assert {name: (r.parent_id, r.text, r.like_count) for name, r in rows.items()} == {
         "c1": (None, "again", 0), "c2": (None, "x", 5), "c1.r": ("c1", "re", 0)}
-    ledger = {r.video_id: (r.status, r.comment_count, r.reason)
-              for r in bronze.collection_status(videos, comments, errors).collect()}
+    status = bronze.collection_status(videos, unique, errors)
+    ledger = {r.video_id: (r.status, r.comment_count, r.reason) for r in status.collect()}
+    assert tuple(bronze.comment_header(status).first()) == (3, 3, 1)
     assert ledger == {"a": ("completed", 3, None), "bad": ("error", None, "commentsDisabled"),
                       "quiet": ("completed", 0, None)}
     assert bronze.collection_status(videos, comments).filter("status = 'error'").count() == 0
@@ -143,6 +145,15 @@ def test_settings_files(spark, tmp_path):
         settings.read_terms(spark, bad)
 
 
+def test_channel_settings_that_cannot_be_read(spark, tmp_path):
+    good = _write(tmp_path / "channels.json", {"channels": defaults.CHANNELS})
+    assert settings.read_channels_if_any(spark, good) == defaults.CHANNELS
+    wrong = _write(tmp_path / "wrong.json", {"channels": "none"})
+    for path in (wrong, _write(tmp_path / "other.json", {"a": 1}), str(tmp_path / "absent.json")):
+        assert settings.read_channels_if_any(spark, path) == []
+    assert settings.channel_table(spark, []).count() == 0
+
+
 def test_default_terms(spark):
     table = settings.term_table(spark, defaults.RELEVANCE_TERMS)
     assert table.count() == 43
@@ -178,8 +189,9 @@ def test_run_tables(spark, tmp_path):
     assert runs.read_run(spark, root, "gold", "t", "R2", schema).count() == 0
     with pytest.raises(FileNotFoundError):
         runs.read_run(spark, root, "gold", "t", "R3", schema)
-    counts = {r.run_id: r.row_count for r in runs.run_counts(runs.read_manifest(spark, root)).collect()}
-    assert counts == {"R1": 1, "R2": 0}
+    counts = {r.run_id: (r.tables, r.row_count)
+              for r in runs.run_counts(runs.read_manifest(spark, root)).collect()}
+    assert counts == {"R1": (1, 1), "R2": (1, 0)}
     with pytest.raises(FileNotFoundError):
         runs.latest_run(runs.read_manifest(spark, root))
 
