@@ -33,7 +33,7 @@ class Encoder:
     Tokenizers of another kind encode every text whole.
     """
 
-    def __init__(self, path: str, kept_chunks: int = 1 << 20):
+    def __init__(self, path: str, kept_chunks: int = 1 << 19):
         self.tokenizer = Tokenizer.from_file(path)
         self.kept_chunks = kept_chunks
         with open(path, encoding="utf-8") as file:
