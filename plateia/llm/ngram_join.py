@@ -173,6 +173,15 @@ def _few_differ(m: str, x: str, n: str, y: str, percent: int) -> Column:
     return differing * (100 + percent) <= (F.col(m) + F.col(n)) * (100 - percent)
 
 
+def _reach(n: Column, place: Column, m: Column, other: Column, percent: int) -> Column:
+    """Whether sets with a common shingle at these places may link; groups' own lists have no places.
+
+    They share at most what lies on the same side of the shingle in both.
+    """
+    most = 1 + F.least(n - place - 1, m - other - 1) + F.least(place, other)
+    return (place < 0) | (most * 100 >= percent * (n + m - most))
+
+
 class _Verifier:
     """Exact checks of pairs of classes, on whole shingle sets."""
 
@@ -303,22 +312,24 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     verifier = _Verifier(rows, classes, words, percent)
 
     # First round: the least, the greatest and the most central group of each list.
-    entry = F.struct("n", "node")
+    entry = F.struct("n", "node", "place")
     pivots = lists.groupBy("shingle").agg(F.array_distinct(F.array(
         F.min(entry), F.max(entry), F.min_by(entry, F.struct("place", "node")))).alias("pivots"))
     starred = lists.join(pivots.select("shingle", F.explode("pivots").alias("pivot")), "shingle").filter(
-        _fits(F.col("n"), F.col("pivot.n"), percent))
+        _fits(F.col("n"), F.col("pivot.n"), percent)
+        & _reach(F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place"), percent))
     star = starred.select("node", F.col("pivot.node").alias("other")).unionByName(
         crowd.select("node", F.col("head").alias("other")))
     found = verifier.links(_pairs(star, F.col("node"), F.col("other")))
 
     # Second round: drawn groups of the lists that are still of several components.
     entries = _open(lists, classes, crowd, found)
-    entry = F.struct("n", "node", "root")
+    entry = F.struct("n", "node", "root", "place")
     drawn = [F.min_by(entry, F.xxhash64("node", F.lit(i))) for i in range(DRAWN)]
     pivots = entries.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("pivots"))
     starred = entries.join(pivots.select("key", F.explode("pivots").alias("pivot")), "key").filter(
-        (F.col("root") != F.col("pivot.root")) & _fits(F.col("n"), F.col("pivot.n"), percent))
+        (F.col("root") != F.col("pivot.root")) & _fits(F.col("n"), F.col("pivot.n"), percent)
+        & _reach(F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place"), percent))
     more = verifier.links(_pairs(starred, F.col("node"), F.col("pivot.node")))
     found = written(found.unionByName(more), "found-links")
 
@@ -331,14 +342,11 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
         F.col(name).alias(f"other_{name}") for name in ("node", "n", "place", "root")),
         *(F.col(f"x{i}").alias(f"y{i}") for i in range(PARITY_BITS // 64)))
     size, other_size = F.col("n"), F.col("other_n")
-    # The sets share at most what lies on the same side of a shingle that they have in common.
-    reach = 1 + F.least(size - F.col("place") - 1, other_size - F.col("other_place") - 1) + F.least(
-        F.col("place"), F.col("other_place"))
     rest = (
         entries.join(other, "key")
         .filter(F.col("root") < F.col("other_root"))
         .filter(_fits(size, other_size, percent))
-        .filter((F.col("place") < 0) | (reach * 100 >= percent * (size + other_size - reach)))
+        .filter(_reach(size, F.col("place"), other_size, F.col("other_place"), percent))
         .filter(_few_differ("n", "x", "other_n", "y", percent))
     )
     rest = verifier.links(_pairs(rest, F.col("node"), F.col("other_node")))
