@@ -1,11 +1,12 @@
 """Repeated runs of lines, found by winnowing over line hashes.
 
-A window is the shortest run of lines from a given line that weighs
-``least_words`` words; a line weighs its words, or a sixteenth of its characters
-if that is more. Within a window, the runs from each of its lines that weigh
+A window is the shortest run of lines from a given line, or up to a given line,
+that weighs ``least_words`` words; a line weighs its words, or a sixteenth of its
+characters if that is more. Within a window, the runs from each of its lines that weigh
 ``gram_words`` have a hash; the least of them is the window's fingerprint. A run
-of lines that weighs ``least_words`` and occurs twice holds a whole window in
-both places, so both select the same fingerprint: no such run is missed.
+of lines that weighs ``least_words`` and occurs twice holds the same windows in
+both places, with the same fingerprints: those from its lines and the one up to
+its end cover every line of it, so no such run is missed.
 
 Only windows whose fingerprint occurs at two places go on. Windows of equal
 content are joined to their first position in the order of doc_id and line;
@@ -26,6 +27,7 @@ columns the operator adds replace columns of their names.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,21 +71,25 @@ def windows(text: str, least_words: int, gram_words: int) -> Iterator[tuple[int,
     grams = _prefix_hashes(hashes, BASE_1)
     contents = _prefix_hashes(hashes, BASE_2)
     starts = total[:-1]
-    ends = np.searchsorted(total, starts + least_words).tolist()
+    ends = np.searchsorted(total, starts + least_words).tolist() + [len(lines) + 1]
     gram_ends = np.searchsorted(total, starts + gram_words).tolist()
     known: dict[int, int] = {}
-    for first, end in enumerate(ends):
-        if end > len(lines):
+    least: deque[int] = deque()  # lines whose grams can still be the least, in order
+    line = 0
+    for first, shortest in enumerate(ends[:-1]):
+        if shortest > len(lines):
             break
-        best = None
-        for line in range(first, end):
-            if gram_ends[line] > end:
-                break
-            if line not in known:
+        # The shortest window from this line, and those from it that are the shortest to their ends.
+        for end in range(shortest, max(shortest + 1, min(ends[first + 1], len(lines) + 1))):
+            while line < end and gram_ends[line] <= end:
                 known[line] = _run_hash(*grams, line, gram_ends[line] - 1)
-            if best is None or known[line] <= known[best]:
-                best = line
-        yield first, end - 1, best, known[best], _run_hash(*contents, first, end - 1)
+                while least and known[line] <= known[least[-1]]:
+                    least.pop()
+                least.append(line)
+                line += 1
+            while least[0] < first:
+                least.popleft()
+            yield first, end - 1, least[0], known[least[0]], _run_hash(*contents, first, end - 1)
 
 
 def _key() -> list[Column]:

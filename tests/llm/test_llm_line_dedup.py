@@ -75,3 +75,38 @@ def test_repeated_rows_are_one_document(spark):
     df = documents(spark, [(4, text), (4, text), (None, text)])
     rows = dedup_lines(df, 30, 15).collect()
     assert {(r.doc_id, r.removed_lines) for r in rows} == {(None, 0), (4, 20)} and len(rows) == 3
+
+
+def every_run(texts, least):
+    """Lines of every run, however long, that weighs enough and occurred before, in document order."""
+    seen, removed = set(), {}
+    for doc_id, text in texts:
+        lines, gone = [line.strip() for line in text.split("\n")], set()
+        for first in range(len(lines)):
+            for last in range(first, len(lines)):
+                run = tuple(lines[first : last + 1])
+                if sum(map(weigh, run)) >= least:
+                    gone |= set(range(first, last + 1)) if run in seen else set()
+                    seen.add(run)
+        removed[doc_id] = gone
+    return removed
+
+
+def test_equals_every_repeated_run_on_random_texts(spark):
+    rng = random.Random(8)
+    lines = [" ".join(rng.choices("abcdefgh", k=rng.choice([0, 1, 2, 3, 9, 14]))) for _ in range(14)]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 14))) for _ in range(120)]
+    texts += [texts[3]] * 3 + ["\n".join([lines[0]] * 40), "\n".join(["p q r", "s t u"] * 20), "a b c d e f g" + "\n" * 9]
+    texts.append(texts[-1])
+    found = run(spark, texts)
+    for doc_id, gone in every_run(list(enumerate(texts)), 6).items():
+        listed = {i for r in found[doc_id].removed for i in range(r.first, r.last + 1)}
+        assert listed == gone, doc_id
+
+
+def test_the_tail_of_a_passage_goes_too(spark):
+    for weights in ([60, 20], [40, 15], [80, 28], [25, 10, 12]):
+        passage = "\n".join(" ".join(f"w{at}x{i}" for i in range(n)) for at, n in enumerate(weights))
+        found = run(spark, [f"own words {i} here\n{passage}\nand the end {i}" for i in range(5)], least=30, gram=15)
+        assert found[0].removed_lines == 0
+        assert {found[i].text for i in range(1, 5)} == {f"own words {i} here\nand the end {i}" for i in range(1, 5)}
