@@ -1,17 +1,19 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
 A paragraph is a run of words of one line: eight, and then those up to the end of
-a sentence, nine more at most. What a line has left at its end is one too. Long
-texts join neighbouring paragraphs, up to one whose digest is divisible by a power
-of two, so that every text has about ``units`` keys and an edit changes the keys
-around it alone.
+a sentence, nine more at most. What a line has left at its end is one too. Texts
+are compared by the digests of all their paragraphs. For the stored fingerprint
+alone, long texts join neighbouring paragraphs, up to one whose digest is divisible
+by a power of two, so that every text has about ``units`` keys.
 
 A sketch hashes each key to three of its cells; a cell holds a count, the exclusive
 or of its keys and that of their checks. Subtracting the sketches of two versions
 leaves the keys that differ; peeling recovers them from cells that hold one key,
-which takes them out of their other cells, until nothing is left. If peeling gets
-stuck, it is retried with sketches four times larger; what the largest cannot
-resolve is compared key by key. Likeness is common keys over all keys of both.
+which takes them out of their other cells, until nothing is left. A sixteenth of
+the keys tells about how many differ and so which sketches are too small. If peeling
+gets stuck, it is retried with sketches four times larger, while they have fewer cells
+than the texts have keys; what those cannot resolve is compared key by key. Likeness
+is common keys over all keys of both.
 
 Everything is a Column function; no Python runs on executors.
 
@@ -190,15 +192,25 @@ def next_ids(ids: DataFrame) -> DataFrame:
         "id", F.coalesce("next_id", "follower").alias("next_id"))
 
 
+def _apart(a: Column, b: Column) -> Column:
+    """How many keys differ between two sets, key by key."""
+    return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
+
+
+def _some(key_set: Column) -> Column:
+    return F.filter(key_set, lambda key: F.pmod(key, F.lit(16)) == 0)
+
+
 def _resolved(pairs: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """Peel, retrying larger on failure; what the largest sketch leaves is counted key by key."""
-    name = f"_{out}"
-    pairs = pairs.withColumn(name, _unresolved())
+    name, about = f"_{out}", f"_about_{out}"
+    pairs = pairs.withColumn(name, _unresolved()).withColumn(about, 16 * _apart(_some(F.col(a)), _some(F.col(b))))
     for size in SIZES:
-        retried = F.when(F.col(name).isNull(), difference(F.col(a), F.col(b), size)).otherwise(F.col(name))
+        wanted = F.col(name).isNull() & (F.col(about) <= 2 * size) & (2 * size <= F.size(a) + F.size(b))
+        retried = F.when(wanted, difference(F.col(a), F.col(b), size)).otherwise(F.col(name))
         pairs = pairs.withColumn(name, retried)
-    exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-    return pairs.withColumn(out, likeness(F.col(a), F.col(b), F.coalesce(name, exact)))
+    differing = F.coalesce(F.col(name), _apart(F.col(a), F.col(b)))
+    return pairs.withColumn(out, likeness(F.col(a), F.col(b), differing))
 
 
 def fingerprint_edits(docs: DataFrame, units: int = 32) -> DataFrame:
@@ -235,21 +247,17 @@ def fingerprint_edits(docs: DataFrame, units: int = 32) -> DataFrame:
         ),
         "paragraph-digests",
     )
-    levels = {name: level(F.col(name), units) for name in ("own", "new", "follower")}
-    keyed = (
-        digested.withColumns({f"{name}_level": value for name, value in levels.items()})
-        .withColumn("pair_level", F.greatest("own_level", "new_level"))
-        .withColumn("next_level", F.greatest("own_level", "follower_level"))
-        .withColumns({
-            "own_keys": keys(F.col("own"), F.col("own_level")),
-            "new_keys": keys(F.col("new"), F.col("new_level")),
-            "pair_own": keys(F.col("own"), F.col("pair_level")),
-            "pair_new": keys(F.col("new"), F.col("pair_level")),
-            "next_own": keys(F.col("own"), F.col("next_level")),
-            "next_new": keys(F.col("follower"), F.col("next_level")),
-        })
-    )
-    compared = _resolved(_resolved(keyed, "pair_own", "pair_new", "near_edited"), "next_own", "next_new", "near_next")
+    keyed = digested.withColumns({
+        "own_level": level(F.col("own"), units),
+        "new_level": level(F.col("new"), units),
+        "own_set": F.array_distinct("own"),
+        "new_set": F.array_distinct("new"),
+        "next_set": F.array_distinct("follower"),
+    }).withColumns({
+        "own_keys": keys(F.col("own"), F.col("own_level")),
+        "new_keys": keys(F.col("new"), F.col("new_level")),
+    })
+    compared = _resolved(_resolved(keyed, "own_set", "new_set", "near_edited"), "own_set", "next_set", "near_next")
     return compared.select(
         F.nullif("id", F.lit(LEAST)).alias("doc_id"), "n_chars", "edited_sha256",
         encode(F.col("own_keys"), F.col("own_level")).alias("fingerprint"),

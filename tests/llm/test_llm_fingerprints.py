@@ -80,3 +80,23 @@ def test_awkward_rows(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
     rows = fp.fingerprint_edits(documents(spark, [(1, "one two. three"), (1, "one two. three"), (None, "a. b. c"), (1, "b")])).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, 1)] * 3 + [(True, 0)]
+
+
+def test_likeness_is_that_of_all_paragraphs_at_every_length(spark):
+    rng = random.Random(5)
+    texts = []
+    for n in (30, 100, 400, 3200):
+        lines = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(9)) + "." for _ in range(n)]
+        copy = list(lines)
+        for at in range(25, n, 50):  # scattered
+            copy[at] = f"changed {at} " + copy[at]
+        texts += ["\n".join(lines), "\n".join(copy)]
+    df = documents(spark, texts)
+    found = {r.doc_id: r for r in fp.fingerprint_edits(df).collect()}
+    edits = [t[: len(t) - len(t) // 4] + texts[(i + 1) % len(texts)][: len(t) // 4] for i, t in enumerate(texts)]
+    digests = [set(r.d) for r in documents(spark, texts + edits).orderBy("doc_id").select(
+        fp.paragraph_digests(F.col("text")).alias("d")).collect()]
+    for i in range(len(texts)):
+        for like, other in ((found[i].near_next, digests[(i + 1) % len(texts)]), (found[i].near_edited, digests[len(texts) + i])):
+            assert abs(like - len(digests[i] & other) / len(digests[i] | other)) < 1e-12, i
+        assert i % 2 or found[i].near_next > 0.9
