@@ -1,8 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches over paragraph digests.
 
-A paragraph is a run of words of one line: eight, and then those up to the end of
-a sentence, nine more at most. What a line has left at its end is one too. Texts
-are compared by the digests of all their paragraphs. For the stored fingerprint
+A paragraph is a run of words of one line: eight, and then those up to a word whose
+hash is divisible by six, nine more at most. What a line has left at its end is one
+too. The cuts after an inserted word soon fall where they fell before. Texts are
+compared by the digests of all their paragraphs. For the stored fingerprint
 alone, long texts join neighbouring paragraphs, up to one whose digest is divisible
 by a power of two, so that every text has about ``units`` keys.
 
@@ -32,9 +33,10 @@ from pyspark.sql import functions as F
 
 from plateia.llm.common import written
 
-# Eight words and those to the end of a sentence, or the last words of a line; possessive, so linear.
+# Eight words and those to a marked one, or the last words of a line; possessive, so linear.
+MARK = "\x01"
 PARAGRAPH = (
-    r"(?:\S++[^\S\n]*+){8}+(?:[^\s.!?]++[^\S\n]++){0,8}+\S*+"
+    r"(?:\S++[^\S\n]*+){8}+(?:[^\s\x01]++[^\S\n]++){0,8}+\S*+"
     r"|(?:\S++[^\S\n]*+){1,7}+"
 )
 LEAST = -(1 << 63)
@@ -49,7 +51,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def paragraph_digests(text: Column) -> Column:
     """Digests of the paragraphs of a text, in order."""
-    found = F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(r"\S++|\n"), F.lit(0))
+    marked = F.transform(words, lambda word: F.when(
+        (F.pmod(F.xxhash64(word), F.lit(6)) == 0) & (word != "\n"), F.concat(word, F.lit(MARK))).otherwise(word))
+    found = F.regexp_extract_all(F.array_join(marked, " "), F.lit(PARAGRAPH), F.lit(0))
     return F.transform(found, lambda paragraph: F.xxhash64(F.trim(paragraph)))
 
 

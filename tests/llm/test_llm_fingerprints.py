@@ -100,3 +100,17 @@ def test_likeness_is_that_of_all_paragraphs_at_every_length(spark):
         for like, other in ((found[i].near_next, digests[(i + 1) % len(texts)]), (found[i].near_edited, digests[len(texts) + i])):
             assert abs(like - len(digests[i] & other) / len(digests[i] | other)) < 1e-12, i
         assert i % 2 or found[i].near_next > 0.9
+
+
+def test_paragraphs_find_back_after_an_inserted_word(spark):
+    rng = random.Random(7)
+    words = [f"w{rng.randint(0, 5000)}" for _ in range(2000)]
+    texts = [" ".join(words), " ".join(words[:3] + ["new"] + words[3:]), " ".join(words[:2] + words[3:])]
+    plain, *changed = (r.d for r in documents(spark, texts).orderBy("doc_id").select(
+        fp.paragraph_digests(F.col("text")).alias("d")).collect())
+    for other in changed:
+        assert len(set(plain) & set(other)) > 0.9 * len(plain)
+    assert 2000 / 17 <= len(plain) <= 2000 / 9 + 1
+    lines = documents(spark, ["a b\n\nc d e", "a  b\nc d\te"]).orderBy("doc_id").select(
+        fp.paragraph_digests(F.col("text")).alias("d")).collect()
+    assert lines[0].d == lines[1].d and len(lines[0].d) == 2
