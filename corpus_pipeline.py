@@ -47,8 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once, and those of rarer sources again, up to 1.25 passes of a source."""
-    return mix_sources(docs, repetition=1.25).select(*docs.columns)
+    """Every document once, those of rarer sources again, up to 1.25 passes of a source; in the order of the mix."""
+    mixed = mix_sources(docs, repetition=1.25).repartitionByRange("mix_order", "doc_id")
+    return mixed.sortWithinPartitions("mix_order", "doc_id").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import corpus_pipeline
 import pytest
 from plateia.llm.common import written
+from plateia.llm.mixing import mix_sources
 from plateia.llm.ngram_join import ngram_components
 from plateia.llm.oracles import ORACLES
 from plateia.llm.queries import QUERIES
@@ -43,3 +44,13 @@ def test_an_empty_corpus_passes_every_stage(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, FOLDER), "test-empty")
     assert docs.count() == 0
+
+
+def test_mixing_writes_the_order_of_the_mix(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    mixed = written(corpus_pipeline.mixing(spark, docs, FOLDER), "test-mixed")
+    files = sorted(mixed.inputFiles())
+    found = [r.doc_id for file in files for r in spark.read.parquet(file).select("doc_id").coalesce(1).collect()]
+    order = mix_sources(docs, repetition=1.25).select("doc_id", "mix_order").collect()
+    assert found == [r.doc_id for r in sorted(order, key=lambda r: (r.mix_order, r.doc_id))]
+    assert mixed.columns == docs.columns
