@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from plateia.llm.licenses import NOTICES, PHRASES, prepare, words_of
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_top_inner_products"] = """
@@ -80,3 +82,48 @@ WITH RECURSIVE w AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) LEFT JOIN n USING (doc_id)
 """
+
+
+def _listed(words: object) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in words) + "]"
+
+
+_NOTICES = ",\n    ".join(
+    f"({number}, '{n.label}', {n.stride}, {n.needed}, {_listed(n.words)})"
+    for number, n in enumerate(prepare(NOTICES, 80))
+)
+_PHRASES = ",\n    ".join(f"('{label}', {_listed(words_of(phrase))})" for phrase, label in PHRASES)
+
+# A block is 2 * stride words at every stride; a notice needs 80 percent of its distinct words.
+ORACLES["op11_license_scan"] = rf"""
+WITH notices(notice, label, stride, needed, words) AS (VALUES
+    {_NOTICES}
+), phrases(label, words) AS (VALUES
+    {_PHRASES}
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), w AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM d
+), p AS (
+  SELECT r, label, place FROM phrases JOIN w ON w.word = phrases.words[1] JOIN d USING (r)
+  WHERE d.words[place + 1 : place + len(phrases.words)] = phrases.words
+), b AS (
+  SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS named
+  FROM p GROUP BY r
+), t AS (
+  SELECT notice, label, stride, needed, len(words) AS m, unnest(words) AS word FROM notices
+), k AS (
+  SELECT r, notice, label, needed, m, count(DISTINCT word) AS c FROM (
+    SELECT r, t.*, unnest([place // stride, place // stride - 1]) AS block FROM w JOIN t USING (word)
+  ) GROUP BY r, notice, label, needed, m, block HAVING c >= needed
+), f AS (
+  SELECT r, list(DISTINCT label) AS labels, max(c / m) AS best FROM k GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(named), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(named, []), coalesce(labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plateia.llm.common import new_folder, written
 from plateia.llm.fingerprints import fingerprint_edits
+from plateia.llm.licenses import scan_licenses
 from plateia.llm.line_dedup import dedup_lines
 from plateia.llm.mixing import count_words, mix_sources
 from plateia.llm.ngram_join import ngram_components
@@ -127,6 +128,12 @@ def op3_iblt_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(table(spark, folder, "documents"))
 
 
+@query
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = scan_licenses(table(spark, folder, "documents"), percent=80)
+    return scanned.drop("blocks")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
