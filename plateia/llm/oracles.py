@@ -127,3 +127,49 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_b
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
 FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
 """
+
+# CRC-32 bit by bit: the outer list holds the start value, then the characters of the id.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)),
+                               lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list(sha256(len(role) || ':' || role || text) ORDER BY place) AS turns,
+         list(CAST(length(text) AS BIGINT) ORDER BY place) AS chars, {_CRC32.format(id="conv_id")} % 6 AS h
+  FROM t GROUP BY conv_id
+), r AS (
+  SELECT c.conv_id, list_concat(coalesce(f.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns,
+         list_concat(coalesce(f.chars, [])[1 : c.h], c.chars[c.h + 1 :]) AS chars
+  FROM c LEFT JOIN c f ON f.conv_id = c.conv_id - c.conv_id % 100
+), p AS (
+  SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns, chars FROM r
+), k AS (
+  SELECT conv_id, n, depth, sha256(array_to_string(turns[1 : depth], ',')) AS node,
+         CASE WHEN depth > 0 THEN sha256(array_to_string(turns[1 : depth - 1], ',')) END AS up,
+         CASE WHEN depth > 0 THEN chars[depth] ELSE 0 END AS own FROM p
+), nodes AS (
+  SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(own) AS saved,
+         sha256(coalesce(string_agg(CASE WHEN n = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM k GROUP BY depth, node
+), children AS (
+  SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), all_nodes AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, node)
+), inside AS (
+  SELECT t.depth, t.node, sum(u.saved) AS saved_tokens, count(*) FILTER (u.n_children = 0) AS n_leaves
+  FROM all_nodes u JOIN k ON k.conv_id = u.conv_id AND k.depth <= u.depth
+  JOIN all_nodes t ON t.depth = k.depth AND t.node = k.node
+  GROUP BY t.depth, t.node
+)
+SELECT a.conv_id, a.depth, u.conv_id AS parent_conv_id, a.n_convs, a.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM all_nodes a JOIN inside USING (depth, node)
+LEFT JOIN all_nodes u ON u.depth = a.depth - 1 AND u.node = a.up
+"""
