@@ -16,6 +16,7 @@ from plateia.llm.line_dedup import dedup_lines
 from plateia.llm.mixing import count_words, mix_sources
 from plateia.llm.ngram_join import ngram_components
 from plateia.llm.packing import pack_documents
+from plateia.llm.periodic_runs import periodic_runs
 from plateia.llm.prefix_trie import prefix_trie
 from plateia.llm.rollups import TokenRollup, count_tokens, image
 from plateia.llm.token_files import token_files
@@ -135,6 +136,11 @@ def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.drop("blocks")
 
 
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs(table(spark, folder, "documents"), least=12, planted=True).drop("runs")
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(table(spark, folder, "conversations"), group=100, shared=6)
