@@ -86,9 +86,18 @@ def _count(value: Column) -> Column:
     return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def counted(df: DataFrame, landed: Observation | None) -> DataFrame:
-    """``df``, counted as ``landed`` while the query that uses it runs."""
-    return df if landed is None else df.observe(landed, F.count(F.lit(1)).alias("landed"))
+def _known_rows(
+    rows: DataFrame, known: DataFrame, keys: list[str], landed: Observation | None
+) -> DataFrame:
+    """The rows that ``known`` has, with its columns; ``landed`` observes how many there were.
+
+    Rows are counted above an outer join. Below an inner one, adaptive planning
+    drops rows and count alike as soon as it sees that nothing is known.
+    """
+    if landed is None:
+        return rows.join(known, keys)
+    outer = rows.join(known.withColumn("_known", F.lit(True)), keys, "left")
+    return outer.observe(landed, F.count(F.lit(1)).alias("landed")).filter("_known").drop("_known")
 
 
 def resolved_channels(pages: DataFrame, channels: DataFrame) -> DataFrame:
@@ -131,19 +140,22 @@ def flatten_videos(
     end: str | datetime,
     landed: Observation | None = None,
 ) -> DataFrame:
-    """Bronze rows of landed video pages.
+    """Bronze rows of landed video pages, once per video of a source: the last that landed.
 
     Items of unknown sources or outside the window give no row; ``landed``
-    observes how many items there were, and so how many were left out.
+    observes how many videos there were, and so how many were left out.
 
     ``channels`` gives each source its category, channel id and title. The
     publication time is the playlist's; absent counts are 0, an absent
     description is ''.
     """
-    item = counted(_items(pages, "source"), landed).withColumn("video_id", F.col("item.id"))
+    keys = ["source", "video_id"]
+    items = _items(pages, "source").withColumn("video_id", F.col("item.id"))
+    known = playlist_videos(playlist, start, end).join(
+        channels.select("source", "category", "channel_id", "channel_title"), "source"
+    )
     return (
-        item.join(playlist_videos(playlist, start, end), ["source", "video_id"])
-        .join(channels.select("source", "category", "channel_id", "channel_title"), "source")
+        _known_rows(keep_latest(items, keys, ["position"]), known, keys, landed)
         .select(
             "source",
             "category",
@@ -206,7 +218,7 @@ def flatten_comments(
     known = videos.select("video_id", "source", "category")
     if errors is not None:
         known = known.join(errors.select("video_id"), "video_id", "left_anti")
-    return counted(unique, landed).join(known, "video_id").select(
+    return _known_rows(unique, known, ["video_id"], landed).select(
         "comment_id",
         "video_id",
         "source",

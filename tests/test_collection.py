@@ -1,0 +1,95 @@
+"""Collections that find little or nothing still write their rows, header and ledger."""
+
+import json
+from datetime import UTC, datetime
+
+import pytest
+
+from plateia.plans.collection import LandedPages, collect
+from plateia.plans.pipeline import run_pipeline
+from plateia.sources import runs
+
+WHEN = datetime(2026, 9, 7, tzinfo=UTC)
+CHANNELS = [{"source": "O POVO", "category": "imprensa", "identifier": "UC2"}]
+
+
+def _video(name):
+    return {"id": name, "snippet": {"title": "Debate", "description": ""}, "status": {"privacyStatus": "public"}}
+
+
+def _thread(name):
+    snippet = {"publishedAt": "2026-09-03T10:00:00Z", "updatedAt": "2026-09-03T10:00:00Z", "textDisplay": "bom"}
+    return {"snippet": {"topLevelComment": {"id": name, "snippet": snippet}, "totalReplyCount": 0}}
+
+
+PAGES = {
+    "channels": [{"source": "O POVO", "page": 0, "items": [{"id": "UC2", "snippet": {"title": "O POVO"}}]}],
+    "playlist": [{"source": "O POVO", "page": 0, "items": [
+        {"contentDetails": {"videoId": "v1", "videoPublishedAt": "2026-09-01T10:00:00Z"}}]}],
+    "videos": [{"source": "O POVO", "page": 0, "items": [_video("v1")]}],
+    "threads": [{"video_id": "v1", "page": 0, "items": [_thread("c1")]}],
+    "replies": [],
+    "errors": [],
+}
+
+
+def _collect(spark, tmp_path, window=("2026-09-01", "2026-09-05"), **pages):
+    for kind, rows in {**PAGES, **pages}.items():
+        folder = tmp_path / "landing" / kind
+        folder.mkdir(parents=True)
+        (folder / "pages.json").write_text("\n".join(map(json.dumps, rows)), encoding="utf-8")
+    root = str(tmp_path / "root")
+    landed = LandedPages.read(spark, str(tmp_path / "landing"))
+    found = collect(spark, root, "R1", landed, CHANNELS, window, WHEN)
+    headers = [spark.read.json(f"{root}/bronze/{name}_header/run_id=R1").first() for name in ("videos", "comments")]
+    ledger = spark.read.json(f"{root}/bronze/comments_status/run_id=R1").collect()
+    return root, found, *headers, ledger
+
+
+EMPTY = {name: [] for name in PAGES}
+
+
+@pytest.mark.parametrize(
+    "window, pages, rejected",
+    [
+        (("2026-10-01", "2026-10-05"), {}, (1, 1)),
+        (("2026-09-01", "2026-09-05"), EMPTY, (0, 0)),
+        (("2026-09-01", "2026-09-05"), {"channels": []}, (1, 1)),
+        (("2026-09-01", "2026-09-05"), {"videos": [], "threads": []}, (0, 0)),
+    ],
+    ids=["empty window", "no pages", "no channel page", "no videos"],
+)
+def test_nothing_qualifies(spark, tmp_path, window, pages, rejected):
+    root, found, videos, comments, ledger = _collect(spark, tmp_path, window, **pages)
+    assert [df.count() for df in found] == [0, 0]
+    assert (videos.row_count, videos.rejected_count) == (0, rejected[0])
+    assert (comments.row_count, comments.rejected_count) == (0, rejected[1])
+    assert (comments.video_count, comments.comment_count, comments.error_count) == (0, 0, 0)
+    assert comments.source_videos_file == "videos_R1.json" and ledger == []
+    tables = run_pipeline(spark, root, "R1", *found, lambda: lambda texts: [("1 star", 0.5)] * len(texts))
+    assert tables["comentarios_gold_enriched"].count() == 0
+    assert runs.latest_run(runs.read_manifest(spark, root)) == "R1"
+
+
+def test_only_failed_videos(spark, tmp_path):
+    errors = [{"video_id": "v1", "reason": "commentsDisabled"}]
+    _, found, videos, comments, ledger = _collect(spark, tmp_path, errors=errors)
+    assert [df.count() for df in found] == [1, 0]
+    assert (videos.row_count, videos.rejected_count) == (1, 0)
+    assert (comments.video_count, comments.comment_count, comments.error_count) == (1, 0, 1)
+    assert comments.rejected_count == 1
+    assert [(r.video_id, r.status, r.reason) for r in ledger] == [("v1", "error", "commentsDisabled")]
+
+
+def test_a_video_without_comments(spark, tmp_path):
+    _, found, _, comments, ledger = _collect(spark, tmp_path, threads=[])
+    assert [df.count() for df in found] == [1, 0]
+    assert (comments.row_count, comments.rejected_count) == (0, 0)
+    assert [(r.video_id, r.status, r.comment_count) for r in ledger] == [("v1", "completed", 0)]
+
+
+def test_a_page_that_landed_twice(spark, tmp_path):
+    again = [*PAGES["videos"], {**PAGES["videos"][0], "page": 1, "items": [{**_video("v1"), "statistics": {"viewCount": "9"}}]}]
+    _, found, videos, _, _ = _collect(spark, tmp_path, videos=again, threads=PAGES["threads"] * 2)
+    assert [df.count() for df in found] == [1, 1]
+    assert (videos.row_count, videos.rejected_count, found[0].first().view_count) == (1, 0, 9)
