@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from plateia import defaults
-from plateia.functions.text import emotion_folder, evaluated_once
+from plateia.functions.keywords import contained_counts
+from plateia.functions.text import emotion_folder
 
 
 def stars_of(label: Column) -> Column:
@@ -37,26 +36,9 @@ def signed_score(sentiment: Column, confidence: Column) -> Column:
 def keyword_hits(text: Column, lexicon: Mapping[str, Sequence[str]]) -> Column:
     """Struct of hits per emotion: how many distinct keywords occur in the folded text.
 
-    Runs in Arrow batches. The same test as one JVM substring search per keyword
-    took four times as long on texts of 2,500 characters and a third longer on
-    texts of 120. NULL has no hits.
+    All keywords are found in one pass. NULL has no hits.
     """
-    searched = [(name, list(dict.fromkeys(words))) for name, words in lexicon.items()]
-    if not any(words for _, words in searched):
-        return F.struct(*(F.lit(0).alias(name) for name, _ in searched))
-    fold_one = emotion_folder()
-
-    @evaluated_once
-    @F.arrow_udf(StructType([StructField(name, IntegerType()) for name, _ in searched]))
-    def count(texts: pa.Array) -> pa.Array:
-        folded = [fold_one(value or "") for value in texts.to_pylist()]
-        hits = [
-            pa.array([sum([word in value for word in words]) for value in folded], pa.int32())
-            for _, words in searched
-        ]
-        return pa.StructArray.from_arrays(hits, [name for name, _ in searched])
-
-    return count(text)
+    return contained_counts(text, lexicon, emotion_folder())
 
 
 def emotion_scores(sentiment: Column, stars: Column, hits: Column) -> Column:

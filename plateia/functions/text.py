@@ -24,15 +24,28 @@ WHITESPACE = "".join(f"\\x{{{ord(space):x}}}" for space in SPACES)
 
 
 def _folder() -> Callable[[str], str]:
-    points = map(chr, range(sys.maxunicode + 1))
-    marks = frozenset(point for point in points if unicodedata.combining(point))
+    plain = frozenset(map(chr, range(128)))
+    known: dict[str, str] = {}
+
+    def base(letter: str) -> str:
+        parts = unicodedata.normalize("NFD", letter)
+        return "".join(part for part in parts if not unicodedata.combining(part))
 
     def fold(value: str) -> str:
-        """Case- and accent-free form of one string (settings and small helpers)."""
-        decomposed = unicodedata.normalize("NFD", value.casefold())
-        for mark in marks.intersection(set(decomposed)):
-            decomposed = decomposed.replace(mark, "")
-        return decomposed
+        """Case- and accent-free form of one string.
+
+        Marks go, whatever their order, so letters decompose one by one; each
+        distinct one of a text is replaced once.
+        """
+        if value.isascii():
+            return value.lower()
+        value = value.casefold()
+        for letter in set(value) - plain:
+            if letter not in known:
+                known[letter] = base(letter)
+            if known[letter] != letter:
+                value = value.replace(letter, known[letter])
+        return value
 
     return fold
 
@@ -75,8 +88,12 @@ def clean_text(text: Column) -> Column:
 
 
 def fold_text(text: Column) -> Column:
-    """Case- and accent-free text. Python gets Arrow batches, with NULL for every ASCII text."""
-    return F.coalesce(_fold(F.when(~is_ascii(text), text)), F.lower(text))
+    """Case- and accent-free text; NULL stays NULL.
+
+    One marked function gives the whole text: a JVM expression beside it would be
+    copied into every use of the column.
+    """
+    return _fold(text)
 
 
 def emotion_folder() -> Callable[[str], str]:

@@ -8,19 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plateia import defaults
-from plateia.functions.text import fold, fold_text
+from plateia.functions.keywords import contained
+from plateia.functions.text import fold
 
 Terms = Sequence[Mapping[str, str]]
 
 
-def matched_terms(folded: Column, terms: Terms) -> Column:
-    """Every configured term, folded, that the text contains; config order, repeats kept."""
-    needles = [fold(entry["term"]) for entry in terms]
-    if not needles:
-        return F.array().cast("array<string>")
-    return F.array_compact(
-        F.array(*(F.when(F.contains(folded, F.lit(needle)), needle) for needle in needles))
-    )
+def matched_terms(text: Column, terms: Terms) -> Column:
+    """Every configured term, folded, that the text contains; config order, repeats kept.
+
+    The text is folded and searched for all terms in one pass. NULL matches none.
+    """
+    return contained(text, [fold(entry["term"]) for entry in terms], fold)
 
 
 def with_source_category(videos: DataFrame, channels: DataFrame) -> DataFrame:
@@ -52,12 +51,10 @@ def mark_relevance(
     )
     return (
         with_source_category(videos, channels)
-        .withColumn("_folded", fold_text(F.when(~bypassed, searched)))
+        .withColumn("_found", matched_terms(F.when(~bypassed, searched), terms))
         .withColumn(
             "matched_terms",
-            F.when(bypassed, F.array(F.lit(defaults.BYPASS_MARKER))).otherwise(
-                matched_terms(F.col("_folded"), terms)
-            ),
+            F.when(bypassed, F.array(F.lit(defaults.BYPASS_MARKER))).otherwise(F.col("_found")),
         )
         .select(*videos.columns, "matched_terms")
     )
