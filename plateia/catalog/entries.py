@@ -323,6 +323,15 @@ def score_comments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def score_comments_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Comments whose texts repeat, each distinct text classified once."""
+    landed = views.raw_comments(spark, folder).select("comment_id", "text")
+    return _scores(
+        scoring.score_comments(landed, views.length_predictor(), views.LEXICON, text="text", once=True)
+    )
+
+
 # --- gold --------------------------------------------------------------------
 
 

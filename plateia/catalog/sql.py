@@ -436,6 +436,11 @@ SELECT comment_id, {_SCORE_LIST} FROM fx_scored""",
     "score_comments": f"""
 WITH fx_written AS (SELECT 'd' || doc_id AS comment_id, {_clean("text")} AS text_clean FROM documents),
 fx_length AS ({_LENGTH_RATED} fx_written)), {_scored("fx_scored", "fx_length", views.LEXICON)}
+SELECT comment_id, {_SCORE_LIST} FROM fx_scored""",
+    "score_comments_once": f"""
+WITH {_COMMENTS}, fx_written AS (
+  SELECT comment_id, CASE WHEN written AND text IS NOT NULL THEN text ELSE '' END AS text_clean FROM fx_comments),
+fx_length AS ({_LENGTH_RATED} fx_written)), {_scored("fx_scored", "fx_length", views.LEXICON)}
 SELECT comment_id, {_SCORE_LIST} FROM fx_scored""",
     "enriched_comments": f"""
 WITH {_SILVER}, {_SCORED}, {_enriched("fx_enriched", "fx_scored", "fx_relevant")}

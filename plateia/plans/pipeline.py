@@ -86,7 +86,7 @@ def run_pipeline(
     scored = write(
         "gold",
         "comments_with_sentiment",
-        score_comments(silver_c, factory, tasks=model_tasks),
+        score_comments(silver_c, factory, tasks=model_tasks, once=True),
         schemas.COMMENTS_WITH_SENTIMENT,
     )
     write("gold", "serie_temporal_volume", daily_volume(silver_v, scored), schemas.DAILY_VOLUME)
