@@ -11,10 +11,12 @@ from plateia import defaults
 from plateia.catalog import views
 from plateia.functions import emotion, privacy, text
 from plateia.functions.times import in_window, to_utc
-from plateia.operators import engagement, enrichment, overview, relevance, samples, scoring, silver
+from plateia.operators import cube, engagement, enrichment, overview, relevance, samples, scoring, silver
 from plateia.operators import timelines
 from plateia.operators.latest import keep_latest
+from plateia.session import new_shared_folder
 from plateia.sources import bronze, runs
+from plateia.sources.parts import LatestState
 from plateia.sources.settings import identifier_kind
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,6 +407,48 @@ def channel_timeline(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(timelines.channel_timeline(_enriched(spark, folder)), "score_emocao_medio")
 
 
+# --- state across collections ------------------------------------------------
+
+
+def _state(spark: SparkSession, folder: str) -> tuple[LatestState, cube.CommentCube]:
+    """State and cube after three collections, taken in one after the other."""
+    root = new_shared_folder(spark, "state")
+    state = LatestState(
+        spark, f"{root}/latest", views.COLLECTED, ["comment_id"], buckets=16, deleted="deleted"
+    )
+    totals = cube.CommentCube(spark, f"{root}/cube", state)
+    for rows in views.comment_collections(spark, folder):
+        state.merge(rows)
+        totals.catch_up()
+    return state, totals
+
+
+@query
+def latest_state(spark: SparkSession, folder: str) -> DataFrame:
+    state, _ = _state(spark, folder)
+    return state.rows().select(
+        "comment_id", "video_id", "published_at", "updated_at", "like_count", "sentimento", "source_file"
+    )
+
+
+@query
+def daily_volume_from_cube(spark: SparkSession, folder: str) -> DataFrame:
+    _, totals = _state(spark, folder)
+    return cube.daily_volume(views.videos(spark, folder), totals.rows())
+
+
+@query
+def candidate_engagement_from_cube(spark: SparkSession, folder: str) -> DataFrame:
+    _, totals = _state(spark, folder)
+    return engagement.candidates_of(views.videos(spark, folder), cube.per_video(totals.rows()))
+
+
+@query
+def sentiment_by_hour_from_cube(spark: SparkSession, folder: str) -> DataFrame:
+    _, totals = _state(spark, folder)
+    return cube.sentiment_by(totals.rows(), F.hour("atualizado").cast("bigint"), "hora")
+
+
 # --- reports -----------------------------------------------------------------
 
 

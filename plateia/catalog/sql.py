@@ -169,6 +169,14 @@ fx_events AS (
 )"""
 
 
+# Comments after three collections, under the name that the report statements read.
+_COLLECTED = _COMMENTS.replace("fx_rated AS (", "fx_first AS (", 1).replace("FROM fx_rated r", "FROM fx_first r") + """,
+fx_rated AS (
+  SELECT * REPLACE (like_count + CASE WHEN event_id % 5 = 0 AND event_id % 3 <> 2 THEN 10 ELSE 0 END AS like_count)
+  FROM fx_first WHERE event_id % 7 <> 0
+)"""
+
+
 def _scored(name: str, source: str, lexicon: dict[str, list[str]]) -> str:
     """Emotion columns for rows with text_clean, stars, sentimento and score_sentimento."""
     hits = ",\n    ".join(
@@ -277,8 +285,8 @@ FROM (SELECT {group} AS {key}, published_at::DATE AS data, {_counts()},
   FROM fx_enriched WHERE category = '{category}' GROUP BY 1, 2)"""
 
 
-def _pivot(key: str, name: str) -> str:
-    return f"""WITH {_COMMENTS}
+def _pivot(key: str, name: str, comments: str = _COMMENTS) -> str:
+    return f"""WITH {comments}
 SELECT {key} AS {name}, {_counts("")} FROM fx_rated GROUP BY 1"""
 
 
@@ -289,6 +297,16 @@ SELECT * REPLACE (strftime(published_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS published_a
 FROM fx_judged WHERE {condition}"""
 
 
+def _daily_volume(comments: str) -> str:
+    return f"""WITH {_VIDEOS}, {comments}
+SELECT data, coalesce(v, 0) AS videos_novos, coalesce(c, 0) AS comentarios_novos,
+  coalesce(likes, 0)::BIGINT AS likes_total, coalesce(score, 0.0) AS sentimento_medio,
+  CASE WHEN coalesce(v, 0) = 0 THEN 0.0 ELSE coalesce(c, 0)::DOUBLE / v END AS engajamento_medio
+FROM (SELECT published_at::DATE AS data, count(*) AS v FROM fx_raw GROUP BY 1)
+FULL JOIN (SELECT published_at::DATE AS data, count(*) AS c, sum(like_count) AS likes,
+    avg(score_sentimento) AS score FROM fx_rated GROUP BY 1) USING (data)"""
+
+
 _WEEKS = f"""WITH {_SILVER}, {_COMMENTS}, fx_weeks AS (
   SELECT date_trunc('week', v.published_at)::DATE AS semana, v.title_clean, count(*) AS comentarios
   FROM fx_rated c JOIN fx_videos v USING (video_id) GROUP BY 1, 2)"""
@@ -453,13 +471,14 @@ SELECT video_id, CASE WHEN category = 'candidato' THEN source
     ELSE coalesce(candidatos_mencionados[1], 'Não Mencionado') END AS candidato,
   CASE WHEN category = 'candidato' THEN source ELSE 'Não Mencionado' END AS candidato_do_canal
 FROM fx_videos""",
-    "daily_volume": f"""WITH {_VIDEOS}, {_COMMENTS}
-SELECT data, coalesce(v, 0) AS videos_novos, coalesce(c, 0) AS comentarios_novos,
-  coalesce(likes, 0)::BIGINT AS likes_total, coalesce(score, 0.0) AS sentimento_medio,
-  CASE WHEN coalesce(v, 0) = 0 THEN 0.0 ELSE coalesce(c, 0)::DOUBLE / v END AS engajamento_medio
-FROM (SELECT published_at::DATE AS data, count(*) AS v FROM fx_raw GROUP BY 1)
-FULL JOIN (SELECT published_at::DATE AS data, count(*) AS c, sum(like_count) AS likes,
-    avg(score_sentimento) AS score FROM fx_rated GROUP BY 1) USING (data)""",
+    "daily_volume": _daily_volume(_COMMENTS),
+    "daily_volume_from_cube": _daily_volume(_COLLECTED),
+    "latest_state": f"""WITH {_COLLECTED}
+SELECT comment_id, video_id, published_at, updated_at, like_count, sentimento,
+  'comments_' || CASE WHEN event_id % 3 = 2 OR event_id % 5 = 0 THEN 2 ELSE 1 END || '.json' AS source_file
+FROM fx_rated""",
+    "candidate_engagement_from_cube": f"WITH {_SILVER}, {_COLLECTED}, {_CANDIDATES} SELECT * FROM fx_candidates",
+    "sentiment_by_hour_from_cube": _pivot("hour(updated_at)", "hora", _COLLECTED),
     "candidate_engagement": f"WITH {_SILVER}, {_COMMENTS}, {_CANDIDATES} SELECT * FROM fx_candidates",
     "channel_engagement": f"WITH {_SILVER}, {_COMMENTS} {_channel_engagement('fx_videos', 'fx_rated')}",
     "channel_engagement_from_bronze": f"""WITH {_SILVER}, {_COMMENTS}, {_SILVER_COMMENTS},

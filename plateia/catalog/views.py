@@ -246,6 +246,53 @@ def length_predictor() -> PredictorFactory:
     return load
 
 
+# --- collections -------------------------------------------------------------
+
+
+COLLECTED = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("comment_id", "video_id")]
+    + [T.StructField(name, T.TimestampType()) for name in ("published_at", "updated_at")]
+    + [T.StructField("like_count", T.LongType()), T.StructField("sentimento", T.StringType())]
+    + [T.StructField(name, T.DoubleType()) for name in ("score_sentimento", "score_emocao")]
+    + [T.StructField("deleted", T.BooleanType())]
+    + [T.StructField(name, T.StringType()) for name in ("collected_at", "source_file")]
+    + [T.StructField("position", T.LongType())]
+)
+
+
+def comment_collections(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Rated comments in three collections: two thirds; the rest and edits; deletions.
+
+    Every fifth comment of the first comes again with ten more likes in the second,
+    every seventh of all is deleted in the third.
+    """
+    number = F.substring("comment_id", 2, 19).cast("bigint")
+    comments = rated(spark, folder).withColumn("score_emocao", F.lit(None).cast("double"))
+    first = number % 3 != 2
+    parts = (
+        (comments.filter(first), False),
+        (
+            comments.filter(~first | (number % 5 == 0)).withColumn(
+                "like_count", F.col("like_count") + F.when(first, 10).otherwise(0)
+            ),
+            False,
+        ),
+        (comments.filter(number % 7 == 0), True),
+    )
+    return [
+        schemas.conform(
+            rows.withColumns({
+                "deleted": F.lit(deleted),
+                "collected_at": F.lit(f"2024-02-0{day}T00:00:00+00:00"),
+                "source_file": F.lit(f"comments_{day}.json"),
+                "position": number,
+            }),
+            COLLECTED,
+        )
+        for day, (rows, deleted) in enumerate(parts, 1)
+    ]
+
+
 # --- landed JSON -------------------------------------------------------------
 
 

@@ -47,7 +47,12 @@ def _summed_counts() -> list[Column]:
 
 
 def candidate_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:
-    """Videos, likes, comments and sentiment per mentioned candidate.
+    """Videos, likes, comments and sentiment per mentioned candidate."""
+    return candidates_of(videos, per_video(comments))
+
+
+def candidates_of(videos: DataFrame, summary: DataFrame) -> DataFrame:
+    """The same from comment measures per video.
 
     The two sides of the outer merge of video and comment summaries have the
     same candidates, so one aggregate over mentioned videos yields both.
@@ -56,7 +61,7 @@ def candidate_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:
         "video_id", "like_count", F.explode("candidatos_mencionados").alias("candidato")
     ).filter("candidato IS NOT NULL")
     table = (
-        mentions.join(per_video(comments), "video_id", "left")
+        mentions.join(summary, "video_id", "left")
         .groupBy("candidato")
         .agg(
             F.count("video_id").alias("videos_total"),
@@ -72,10 +77,15 @@ def candidate_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:
 
 def channel_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:
     """Videos, comments, mean likes and sentiment per channel title."""
+    return channels_of(videos, per_video(comments))
+
+
+def channels_of(videos: DataFrame, summary: DataFrame) -> DataFrame:
+    """The same from comment measures per video."""
     table = (
         videos.select("video_id", F.col("channel_title").alias("tema"))
         .filter("tema IS NOT NULL")
-        .join(per_video(comments), "video_id", "left")
+        .join(summary, "video_id", "left")
         .groupBy("tema")
         .agg(
             F.count_distinct("video_id").alias("videos_total"),
@@ -90,12 +100,8 @@ def channel_engagement(videos: DataFrame, comments: DataFrame) -> DataFrame:
 
 def daily_volume(videos: DataFrame, comments: DataFrame) -> DataFrame:
     """New videos, new comments, likes, mean sentiment and comments per video, by day."""
-    day = F.to_date("published_at").alias("data")
-    new_videos = (
-        videos.select(day).filter("data IS NOT NULL").groupBy("data").agg(F.count("data").alias("_v"))
-    )
     new_comments = (
-        comments.select(day, "comment_id", "like_count", "score_sentimento")
+        comments.select(_day(), "comment_id", "like_count", "score_sentimento")
         .filter("data IS NOT NULL")
         .groupBy("data")
         .agg(
@@ -104,6 +110,18 @@ def daily_volume(videos: DataFrame, comments: DataFrame) -> DataFrame:
             F.avg("score_sentimento").alias("_score"),
         )
     )
+    return volume_of_days(videos, new_comments)
+
+
+def _day() -> Column:
+    return F.to_date("published_at").alias("data")
+
+
+def volume_of_days(videos: DataFrame, new_comments: DataFrame) -> DataFrame:
+    """The same from comments, likes and mean sentiment per day (``_c``, ``_likes``, ``_score``)."""
+    new_videos = (
+        videos.select(_day()).filter("data IS NOT NULL").groupBy("data").agg(F.count("data").alias("_v"))
+    )
     nothing = F.lit(0).cast("bigint")
     return (
         new_videos.join(new_comments, "data", "full_outer")

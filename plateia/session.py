@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +36,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def new_shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors reach.
+
+    A local session may leave that unset and gets a temporary folder instead.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="plateia-")
+    return f"{folder.rstrip('/')}/plateia/{name}-{uuid4().hex}"

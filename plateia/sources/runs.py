@@ -16,7 +16,7 @@ def table_path(root: str, layer: str, name: str, run_id: str) -> str:
     return f"{root}/{layer}/{name}/run_id={run_id}"
 
 
-def _place(spark: SparkSession, path: str):
+def place_of(spark: SparkSession, path: str):
     """A path and the store it is in, whichever store that is."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -32,7 +32,7 @@ def withdraw_run(spark: SparkSession, root: str, run_id: str) -> None:
     Until the repeat has written a table and listed it again, no reader counts
     it: a repeat that fails half-way leaves an incomplete run.
     """
-    place, store = _place(spark, f"{root}/manifest/{run_id}")
+    place, store = place_of(spark, f"{root}/manifest/{run_id}")
     store.delete(place, True)
 
 
@@ -61,7 +61,7 @@ def write_run(
     this run is replaced. The recorded count reads Parquet footers only.
     """
     path = table_path(root, layer, name, run_id)
-    place, store = _place(df.sparkSession, _entry(root, run_id, layer, name))
+    place, store = place_of(df.sparkSession, _entry(root, run_id, layer, name))
     store.delete(place, True)
     schemas.conform(df, schema).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     spark = df.sparkSession
@@ -111,7 +111,7 @@ def read_run(
     spark: SparkSession, root: str, layer: str, name: str, run_id: str, schema: T.StructType
 ) -> DataFrame:
     """A table of one run. Its own manifest entry is looked up; no other is listed or read."""
-    entry, store = _place(spark, f"{_entry(root, run_id, layer, name)}/_SUCCESS")
+    entry, store = place_of(spark, f"{_entry(root, run_id, layer, name)}/_SUCCESS")
     if not store.exists(entry):
         raise FileNotFoundError(f"run {run_id} has no {layer} table {name}")
     return spark.read.schema(schema).parquet(table_path(root, layer, name, run_id))
