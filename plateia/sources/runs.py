@@ -1,8 +1,19 @@
-"""Run tables: one folder per layer, table and run, listed in a manifest."""
+"""Run tables: one folder per layer, table and run, published by a pointer and listed in a manifest.
+
+    <root>/<layer>/<table>/run_id=<run>/<attempt>/       the rows of one attempt
+    <root>/published/<run>/<layer>.<table>/<attempt>     an empty file: this attempt is whole
+    <root>/manifest/<run>/<layer>.<table>/               its row count, for complete runs
+
+An attempt is written to a folder of its own, and then one empty file is created,
+which stores do in one step. Readers follow the pointer with the highest number, so they
+see the old table whole or the new one, never a mixture; those that planned on the
+attempt before still find its files. One writer per run at a time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +33,26 @@ def place_of(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _published(spark: SparkSession, root: str, run_id: str, layer: str, name: str) -> list[str]:
+    """Attempts of a table that were published, in order."""
+    place, store = place_of(spark, f"{root}/published/{run_id}/{layer}.{name}")
+    return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
+
+
+def _publish(spark: SparkSession, root: str, run_id: str, layer: str, name: str, attempt: str) -> None:
+    pointer, store = place_of(spark, f"{root}/published/{run_id}/{layer}.{name}/{attempt}")
+    store.create(pointer, False).close()
+
+
+def _sweep(spark: SparkSession, root: str, run_id: str, layer: str, name: str, kept: Sequence[str]) -> None:
+    """Delete attempts, and their pointers, that are not kept: older ones and those that failed."""
+    for folder in (table_path(root, layer, name, run_id), f"{root}/published/{run_id}/{layer}.{name}"):
+        place, store = place_of(spark, folder)
+        for found in store.listStatus(place):
+            if found.getPath().getName() not in kept:
+                store.delete(found.getPath(), True)
+
+
 def _entry(root: str, run_id: str, layer: str, name: str) -> str:
     return f"{root}/manifest/{run_id}/{layer}.{name}"
 
@@ -29,8 +60,8 @@ def _entry(root: str, run_id: str, layer: str, name: str) -> str:
 def withdraw_run(spark: SparkSession, root: str, run_id: str) -> None:
     """Take every entry of a run out of the manifest, before the run is repeated.
 
-    Until the repeat has written a table and listed it again, no reader counts
-    it: a repeat that fails half-way leaves an incomplete run.
+    Until the repeat has listed every table again, the run is not complete. Its
+    published tables stay readable until each is replaced.
     """
     place, store = place_of(spark, f"{root}/manifest/{run_id}")
     store.delete(place, True)
@@ -57,16 +88,23 @@ def write_run(
 ) -> DataFrame:
     """Write one table of a run and return it as read back, which also cuts its lineage.
 
-    A table without rows is written too, with its schema. Only the folder of
-    this run is replaced. The recorded count reads Parquet footers only.
+    A table without rows is written too, with its schema. The attempt before this one
+    stays, for readers that began with it; older ones go. The recorded count reads
+    Parquet footers only.
     """
-    path = table_path(root, layer, name, run_id)
-    place, store = place_of(df.sparkSession, _entry(root, run_id, layer, name))
-    store.delete(place, True)
-    schemas.conform(df, schema).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     spark = df.sparkSession
+    place, store = place_of(spark, _entry(root, run_id, layer, name))
+    store.delete(place, True)
+    before = _published(spark, root, run_id, layer, name)
+    number = int(before[-1].split("-")[0]) + 1 if before else 1
+    attempt = f"{number:08d}-{uuid4().hex}"
+    path = f"{table_path(root, layer, name, run_id)}/{attempt}"
+    schemas.conform(df, schema).write.partitionBy(*partition_by).parquet(path)
     written = spark.read.schema(schema).parquet(path)
-    record(spark, root, layer, name, run_id, written.count())
+    rows = written.count()
+    _publish(spark, root, run_id, layer, name, attempt)
+    record(spark, root, layer, name, run_id, rows)
+    _sweep(spark, root, run_id, layer, name, [*before[-1:], attempt])
     return written.select(*schema.names)
 
 
@@ -110,11 +148,11 @@ def run_counts(manifest: DataFrame) -> DataFrame:
 def read_run(
     spark: SparkSession, root: str, layer: str, name: str, run_id: str, schema: T.StructType
 ) -> DataFrame:
-    """A table of one run. Its own manifest entry is looked up; no other is listed or read."""
-    entry, store = place_of(spark, f"{_entry(root, run_id, layer, name)}/_SUCCESS")
-    if not store.exists(entry):
+    """The published table of one run; no other run is listed or read."""
+    attempts = _published(spark, root, run_id, layer, name)
+    if not attempts:
         raise FileNotFoundError(f"run {run_id} has no {layer} table {name}")
-    return spark.read.schema(schema).parquet(table_path(root, layer, name, run_id))
+    return spark.read.schema(schema).parquet(f"{table_path(root, layer, name, run_id)}/{attempts[-1]}")
 
 
 def with_lenient_times(
