@@ -13,7 +13,9 @@ The rotation is fitted to a bounded sample (``fit_rows``); it is orthogonal, so
 it changes how much is pruned and never a result.
 
 Rows: vectors that are NULL or hold NULL or non-finite components take no part,
-nor do rows with a NULL id or with a scaled component of 2^25 or more in size.
+nor do rows with a NULL id or with a scaled component of 2^62 or more in size, which
+has hardly a product that is a long. A product beyond a long becomes the largest or
+least one.
 Vectors of different lengths are compared as if padded with zeros; an empty
 vector scores 0. Repeated ids are rows of their own; rows that share a query's id
 are not its candidates. Ties go to the smaller id. An empty table gives no rows.
@@ -31,7 +33,9 @@ from pyspark.sql import functions as F
 
 from plateia.llm.common import only, written
 
-LIMIT = 1 << 25
+# Larger components leave nearly no product that is a long.
+LIMIT = 1 << 62
+LONGEST = (1 << 63) - 1
 ROWS = "part INT, place BIGINT, vec_id BIGINT, norm DOUBLE, vector BINARY"
 
 
@@ -60,7 +64,7 @@ def scaled_vectors(vectors: DataFrame, scale: float) -> DataFrame:
     def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (vec_id, float(np.sqrt(float(v @ v))), v.astype("<i8").tobytes())
+                (vec_id, float(np.linalg.norm(v.astype(np.float64))), v.astype("<i8").tobytes())
                 for vec_id, v in zip(batch["vec_id"].to_pylist(), _vectors(batch["embedding"], scale))
                 if v is not None and vec_id is not None
             ]
@@ -123,11 +127,20 @@ def _fit_rotation(rows: DataFrame, total: int, width: int, fit_rows: int) -> np.
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer products of all rows; through doubles where those are exact."""
+    """Integer products of all rows; through doubles where those are exact.
+
+    Pairs long enough for a product beyond 64 bits are multiplied as Python's integers,
+    and a product beyond a long becomes the largest or least one.
+    """
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
     if largest < 2.0**53:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return q @ c.T
+    scores = q @ c.T
+    lengths = [np.linalg.norm(rows.astype(np.float64), axis=1) for rows in (q, c)]
+    for i, j in np.argwhere(np.outer(*lengths) >= 2.0**62):
+        exact = sum(a * b for a, b in zip(q[i].tolist(), c[j].tolist()))
+        scores[i, j] = max(-LONGEST, min(LONGEST, exact))
+    return scores
 
 
 def best_in_block(
@@ -142,7 +155,8 @@ def best_in_block(
     head = max(1, q.shape[1] // steps) if q.shape[1] else 0
     qr = q.astype(np.float64) @ rotation
     qr, q_rest, q_norm = qr[:, :head], np.linalg.norm(qr[:, head:], axis=1), np.linalg.norm(qr, axis=1)
-    limit = threshold.astype(np.float64)
+    # At the least long there is no threshold: products below it end there too.
+    limit = np.where(threshold <= -LONGEST, -np.inf, threshold.astype(np.float64))
     kept_score = [np.empty(0, np.int64)] * len(q)
     kept_id = [np.empty(0, np.int64)] * len(q)
     scored = 0
@@ -170,7 +184,7 @@ def best_in_block(
             name = np.append(kept_id[query], ids[columns[mine]])
             best = np.lexsort((name, -score))[:k]
             kept_score[query], kept_id[query] = score[best], name[best]
-            if len(best) == k:
+            if len(best) == k and kept_score[query][-1] > -LONGEST:
                 limit[query] = max(limit[query], float(kept_score[query][-1]))
     sizes = [len(s) for s in kept_score]
     return np.repeat(np.arange(len(q)), sizes), np.concatenate(kept_id), np.concatenate(kept_score), scored

@@ -64,3 +64,17 @@ def test_large_components_stay_exact(spark):
     rows = [(i, [single(90_000.0 + i * 17), single(-80_000.0 + i)]) for i in range(20)]
     assert run(spark, rows) == expected(rows, 5, 3)
     assert run(spark, [(0, [1e30]), (1, [1.0]), (5, [2.0])]) == [(5, 1, 1, 512 * 256)]
+
+
+def test_every_vector_whose_scores_are_longs_takes_part(spark):
+    pairs = [(1, 1), (2e5, 0), (131_072, -5), (3e6, 1), (-2e6, 7), (2.5e7, 2.5e7)]
+    rows = [(i, [single(x) for x in pair]) for i, pair in enumerate(pairs)]
+    found = run(spark, rows)
+    assert found == expected(rows, 5, 3)
+    assert (0, 2, 5, 2 * 256 * int(256 * 2.5e7)) in found
+
+
+def test_scores_beyond_a_long_stop_at_its_ends(spark):
+    rows = [(0, [2.0**50]), (1, [2.0**51]), (2, [2.0**-6]), (3, [-(2.0**50)])]
+    found = {(q, v): score for q, _, v, score in run(spark, rows)}
+    assert found[0, 1] == 2**63 - 1 and found[0, 3] == -(2**63 - 1) and found[0, 2] == 2**60
