@@ -57,36 +57,47 @@ def delta(changes: DataFrame) -> DataFrame:
 
 
 class TokenRollup:
-    """Totals in one folder. One writer at a time; batch numbers grow."""
+    """Totals in one folder, a version for each committed batch. One writer at a time.
+
+    A version's folder names its batch, and Spark's success marker commits both at
+    once. So a batch counts once, whenever it comes: late ones are added, and ones
+    that arrive again are not.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _path(self, version: int) -> str:
-        return f"{self.folder}/version={version:012d}"
+    def _path(self, version: int, batch: int) -> str:
+        return f"{self.folder}/version={version:012d}.batch={batch}"
 
-    def version(self) -> int | None:
-        """The last batch that was committed whole."""
+    def commits(self) -> dict[int, int]:
+        """The batch of every version."""
         jvm = self.spark.sparkContext._jvm
         top = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/version=*/_SUCCESS")
         store = top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = store.globStatus(top) or []
-        names = [status.getPath().getParent().getName() for status in found]
-        return max((int(name.removeprefix("version=")) for name in names), default=None)
+        names = [status.getPath().getParent().getName() for status in store.globStatus(top) or []]
+        pairs = (name.removeprefix("version=").split(".batch=") for name in names)
+        return {int(version): int(batch) for version, batch in pairs}
+
+    def version(self) -> int | None:
+        """The newest version."""
+        return max(self.commits(), default=None)
 
     def totals(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
+        commits = self.commits()
+        version = max(commits, default=None) if version is None else version
         if version is None:
             return self.spark.createDataFrame([], TOTALS)
-        return self.spark.read.schema(TOTALS).parquet(self._path(version))
+        return self.spark.read.schema(TOTALS).parquet(self._path(version, commits[version]))
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
-        """Add a batch; False if it, or a later one, was committed before."""
-        last = self.version()
-        if last is not None and batch <= last:
+        """Add a batch; False if it was committed before."""
+        commits = self.commits()
+        if batch in commits.values():
             return False
-        added = self.totals(last).unionByName(delta(changes)).groupBy(*KEYS).agg(
+        last = max(commits, default=0)
+        added = self.totals(last or None).unionByName(delta(changes)).groupBy(*KEYS).agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
         )
-        added.filter("docs <> 0 OR tokens <> 0").write.mode("overwrite").parquet(self._path(batch))
+        added.filter("docs <> 0 OR tokens <> 0").write.mode("overwrite").parquet(self._path(last + 1, batch))
         return True

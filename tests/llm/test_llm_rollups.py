@@ -64,3 +64,13 @@ def test_a_failed_commit_leaves_the_totals(spark):
     assert rollup.version() == 1
     assert rollup.commit(2, changes(spark, [(None, row)]))
     assert table(rollup.totals()) == {("a", "en", "v1"): (2, 6)}
+
+
+def test_a_late_batch_counts_once(spark):
+    rollup = TokenRollup(spark, new_folder(spark, "rollup"))
+    rows = {batch: changes(spark, [(None, ("a", "en", "v1", 10 * batch))]) for batch in (1, 2, 3)}
+    assert [rollup.commit(batch, rows[batch]) for batch in (1, 3, 2)] == [True, True, True]
+    assert [rollup.commit(batch, rows[batch]) for batch in (2, 1, 3)] == [False, False, False]
+    assert rollup.commits() == {1: 1, 2: 3, 3: 2}
+    assert table(rollup.totals()) == {("a", "en", "v1"): (3, 60)}
+    assert table(rollup.totals(2)) == {("a", "en", "v1"): (2, 40)}
