@@ -38,6 +38,8 @@ from plateia.llm.tokens import encoder
 
 Placement = tuple[int, int, int, int, int]  # length, first rank, pieces, first sequence, offset
 
+_BATCH = 1024  # pieces in one Arrow batch
+
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep_ids: bool) -> DataFrame:
     """Token pieces of each document, with their place among pieces of their length in the task."""
@@ -45,8 +47,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, task = encoder(tokenizer), struct.pack("<I", end_id), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
+        rows = []
+
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
+
         for batch in batches:
-            rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 ids = encode.encode(text.as_py() or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
@@ -55,10 +61,13 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep
                     rows.append((task, doc_id, piece, at // 4, length, zlib.crc32(own), seen[length],
                                  own if keep_ids else None))
                     seen[length] += 1
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names
-                )
+                    if len(rows) == _BATCH:
+                        yield batch_of(rows)
+                        rows = []
+        if rows:
+            yield batch_of(rows)
+        # The worker lives on, for other stages.
+        encode.forget()
 
     names = ["task", "doc_id", "piece", "start", "length", "ids_crc32", "place", "ids"]
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]

@@ -185,7 +185,7 @@ def write_token_files(
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, kept_chunks=1 << 18)
         bits = bits_for(max(encode.tokenizer.get_vocab_size(), end_id + 1))
         end = struct.pack("<I", end_id)
         shard, writer = TaskContext.get().partitionId(), None
