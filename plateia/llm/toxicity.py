@@ -11,8 +11,8 @@ logistic curve, whose 0.5 is the threshold.
 Most windows of a toxic document are ordinary prose. Dictionary samples of toxic
 text are the windows with a character gram far commoner in toxic documents.
 
-Fitting takes at most ``sample_docs`` labelled documents of either kind, and at
-most ``sample_chars`` characters of each; scoring covers every window of whole
+Fitting takes at most ``sample_docs`` labelled documents of either kind, whole: tasks
+send their distinct windows to the driver. Scoring covers every window of whole
 texts. With labels of one kind only, or none, all documents get the share of
 toxic labels, or 0, as their score.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -135,19 +136,23 @@ def fit_windows(toxic: list[str], ordinary: list[str], toxic_share: float) -> Mo
     if not toxic or not ordinary:
         return Model(constant=1.0 if toxic else 0.0)
 
-    def part(texts: list[str], of: tuple[int, ...]) -> list[set[str]]:
+    def part(texts: list[str], of: tuple[int, ...]) -> list[tuple[str, ...]]:
         chosen = [t for i, t in enumerate(texts) if i % 5 in of] or texts
-        return [windows(t) for t in chosen]
+        # One string per distinct window, however many texts hold it.
+        return [tuple(map(sys.intern, windows(t))) for t in chosen]
+
+    def grams_of(own: tuple[str, ...]) -> set[str]:
+        return set().union(*map(_grams, own))
 
     bad, good = part(toxic, (0, 1)), part(ordinary, (0, 1))
     in_bad, in_good = Counter(), Counter()
-    for texts, counts in ((bad, in_bad), (good, in_good)):
-        for own in texts:
-            counts.update(set().union(*map(_grams, own)))
-    telling = {
-        gram for gram, n in in_bad.items()
-        if n >= max(2, 0.01 * len(bad)) and n / len(bad) >= 20 * (in_good[gram] + 0.5) / len(good)
-    }
+    for own in bad:
+        in_bad.update(grams_of(own))
+    often = {gram: n for gram, n in in_bad.items() if n >= max(2, 0.01 * len(bad))}
+    del in_bad
+    for own in good:
+        in_good.update(often.keys() & grams_of(own))
+    telling = {gram for gram, n in often.items() if n / len(bad) >= 20 * (in_good[gram] + 0.5) / len(good)}
     bad_windows = Counter(w for own in bad for w in own if telling & _grams(w))
     model = Model(
         toxic=_dictionary(bad_windows or Counter(w for own in bad for w in own), 1 << 14),
@@ -204,9 +209,15 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, sample_docs: int = 4000, sample_chars: int = 1 << 16
-) -> Model:
+def _distinct_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [" ".join(sorted(windows(text.as_py()))) for text in batch["text"]]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["toxic"], pa.array(found, pa.string())], ["doc_id", "toxic", "windows"]
+        )
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 4000) -> Model:
     """Fit on a digest-ordered sample of the labelled documents that are not held out."""
     marked = (
         only(labels, doc_id=F.col("doc_id").cast("bigint"), toxic="toxic")
@@ -218,10 +229,12 @@ def fit_toxicity(
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [marked.filter(F.col("toxic") == kind).orderBy(*order).limit(sample_docs) for kind in (True, False)]
     # At most 2 * sample_docs rows: small enough to send to every task.
-    texts = only(docs, doc_id=F.col("doc_id").cast("bigint"), text=F.substring("text", 1, sample_chars)).join(
+    texts = only(docs, doc_id=F.col("doc_id").cast("bigint"), text="text").join(
         F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id"
     )
-    sample = sorted((r.doc_id, r.toxic, r.text or "") for r in texts.collect())
+    seen = texts.mapInArrow(_distinct_windows, "doc_id BIGINT, toxic BOOLEAN, windows STRING").toArrow()
+    sample = sorted(zip(*(seen[name].to_pylist() for name in ("doc_id", "toxic", "windows"))))
+    del seen
     counts = {r.toxic: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(True, 0) / max(1, sum(counts.values()))
     return fit_windows(
