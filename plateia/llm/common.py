@@ -44,7 +44,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more: all that came of them is written too."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def only(df: DataFrame, **columns: str | Column) -> DataFrame:

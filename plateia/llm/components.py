@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plateia.llm.common import written
+from plateia.llm.common import discard, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        now = written(_small_star(_large_star(now)), "links")
+        last, now = now, written(_small_star(_large_star(now)), "links")
+        discard(last)
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))

@@ -23,6 +23,10 @@ Rarity is counted in a fixed number of hash cells over all shingles of all
 documents. It only orders shingles: any order gives the same links, and a frequent
 shingle raises its cell however large the corpus. Shingles are 64-bit hashes.
 
+Parities of long sets are kept in as many bits as the sets have shingles, so they
+rule out unrelated pairs at every length; whole sets are sent for the rest only.
+Tables that no later step reads are deleted.
+
 Rows: texts without words, empty and NULL ones have no shingles, link with nothing
 and are their own component. Texts with fewer words than n have one shingle, the
 whole sequence. NULL and repeated ids are rows of their own; the component of rows
@@ -40,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plateia.llm.common import only, written
+from plateia.llm.common import discard, only, written
 from plateia.llm.components import components
 
 CELL_BITS = 18
@@ -101,17 +105,35 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, "<i8").tolist())
 
 
-def _parity(hashes: np.ndarray) -> np.ndarray:
+def _parity(hashes: np.ndarray, bits: int = PARITY_BITS) -> np.ndarray:
     """Whether each of a fixed number of buckets holds an odd number of the hashes.
 
     The buckets in which two sets differ are at most the hashes in which they do.
     """
-    counts = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1).view(np.int64)
 
 
+def _wide(hashes: np.ndarray) -> bytes | None:
+    """Parities in as many buckets as a long set has hashes or more, a power of two.
+
+    In few buckets the parities of any two long sets differ by half of the buckets,
+    which says nothing; in these, unrelated sets differ by about as much as they hold.
+    """
+    if len(hashes) <= PARITY_BITS:
+        return None
+    return _parity(hashes, 1 << (len(hashes) - 1).bit_length()).tobytes()
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """Buckets in which two parities differ, the wider folded to the narrower: parities add."""
+    wide, narrow = sorted((np.frombuffer(side, np.uint64) for side in (x, y)), key=len, reverse=True)
+    folded = np.bitwise_xor.reduce(wide.reshape(-1, len(narrow)), axis=0)
+    return int(np.bitwise_count(folded ^ narrow).sum())
+
+
 def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, the class (node, check), parity bits, the prefix and its group, of every document."""
+    """doc_id, n, the class (node, check), parities, the prefix and its group, of every document."""
     ranks = rarity(docs, words)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,19 +144,19 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"]):
                     own = shingles(text.as_py(), words)
                     if not len(own):
-                        rows.append((doc_id, 0, None, None, None, None, None))
+                        rows.append((doc_id, 0, *[None] * 6))
                         continue
                     order = np.lexsort((own, ranks[_cells(own)]))
                     prefix = own[order[: prefix_length(len(own), percent)]].view(np.int64)
                     group = _digest(np.append(prefix, len(own)))[0]
-                    rows.append((doc_id, len(own), *_digest(own), _parity(own), group, prefix))
+                    rows.append((doc_id, len(own), *_digest(own), _parity(own), _wide(own), group, prefix))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    names = ["doc_id", "n", "node", "check", "parity", "group", "prefix"]
-    kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
+    names = ["doc_id", "n", "node", "check", "parity", "wide", "group", "prefix"]
+    kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.list_(pa.int64())]
     return docs.mapInArrow(
         profile,
-        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity ARRAY<BIGINT>, group BIGINT, "
+        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity ARRAY<BIGINT>, wide BINARY, group BIGINT, "
         "prefix ARRAY<BIGINT>",
     )
 
@@ -189,33 +211,56 @@ class _Verifier:
         self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
 
     def sifted(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that their parity bits do not rule out: linked sets differ in few hashes."""
+        """Pairs that their parities do not rule out: linked sets differ in few hashes.
+
+        The parities of a fixed size come first. Pairs of two long sets, of which
+        these rule out few, then meet by parities that are as wide as the sets.
+        """
         known = self.classes.groupBy("node").agg(F.min("parity").alias("parity"), F.min("n").alias("n"))
         x = known.select(F.col("node").alias("a"), F.col("n").alias("m"), *_bits("parity", "x"))
         y = known.select(F.col("node").alias("b"), "n", *_bits("parity", "y"))
-        both = pairs.join(x, "a").join(y, "b")
-        return written(both.filter(_few_differ("m", "x", "n", "y", self.percent)).select("a", "b"), "sifted-pairs")
+        both = pairs.join(x, "a").join(y, "b").filter(_few_differ("m", "x", "n", "y", self.percent))
+        rough = written(both.select("a", "b", "m", "n"), "rough-pairs")
+        percent = self.percent
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sizes = batch["m"].to_numpy() + batch["n"].to_numpy()
+                kept = [
+                    i for i, size in enumerate(sizes.tolist())
+                    if _differing(batch["x"][i].as_py(), batch["y"][i].as_py()) * (100 + percent)
+                    <= size * (100 - percent)
+                ]
+                yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+        long = F.least("m", "n") > PARITY_BITS
+        wide = self.classes.filter(F.col("n") > PARITY_BITS).groupBy("node").agg(F.min("wide").alias("wide"))
+        x = wide.select(F.col("node").alias("a"), F.col("wide").alias("x"))
+        y = wide.select(F.col("node").alias("b"), F.col("wide").alias("y"))
+        tested = rough.filter(long).join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y")
+        rest = rough.filter(~long).select("a", "b")
+        sifted = written(tested.mapInArrow(near, "a BIGINT, b BIGINT").unionByName(rest), "sifted-pairs")
+        discard(rough)
+        return sifted
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
-        """The hashes of the classes in ``nodes``, from their whole texts."""
+        """The hashes of the classes in ``nodes``, from the whole text of the least id of each.
+
+        Rows of one id are all read, as are those without an id if a class has no other.
+        """
         words = self.words
-        bit = F.pmod(F.xxhash64("least_id"), F.lit(1 << FILTER_BITS)).alias("bit")
-        masks = _bitmap(self.classes.join(nodes, "node", "left_semi").select(bit))
+        needed = self.classes.join(nodes, "node", "left_semi").select(F.xxhash64("least_id").alias("key")).distinct()
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = _marked(masks, batch["bit"].to_numpy())
-                for at in range(0, len(hits), 500):
-                    rows = []
-                    for i in hits[at : at + 500].tolist():
-                        own = shingles(batch["text"][i].as_py(), words)
-                        if len(own):
-                            rows.append((_digest(own)[0], own.tobytes()))
+                for at in range(0, batch.num_rows, 500):
+                    sets = [shingles(text.as_py(), words) for text in batch["text"].slice(at, 500)]
+                    rows = [(_digest(own)[0], own.tobytes()) for own in sets if len(own)]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["node", "hashes"])
 
-        tested = self.docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("bit"))
-        return written(tested.mapInArrow(whole, "node BIGINT, hashes BINARY"), "shingle-sets")
+        texts = self.docs.select("text", F.xxhash64("doc_id").alias("key")).join(needed, "key", "left_semi")
+        return written(texts.select("text").mapInArrow(whole, "node BIGINT, hashes BINARY"), "shingle-sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         percent = self.percent
@@ -241,7 +286,9 @@ class _Verifier:
         x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
         y = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
         both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return written(both.mapInArrow(linked, "a BIGINT, b BIGINT").distinct(), "similar-pairs")
+        found = written(both.mapInArrow(linked, "a BIGINT, b BIGINT").distinct(), "similar-pairs")
+        discard(near, sets)
+        return found
 
 
 def _postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
@@ -286,7 +333,9 @@ def _open(lists: DataFrame, classes: DataFrame, crowd: DataFrame, links: DataFra
     names = ["key", "node", "n", "place", "root"]
     entries = listed.select(*names).unionByName(own.select(*names))
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return written(entries.join(mixed.select("key"), "key", "left_semi"), "open-lists")
+    opened = written(entries.join(mixed.select("key"), "key", "left_semi"), "open-lists")
+    discard(members)
+    return opened
 
 
 def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -295,11 +344,11 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     profile = written(profiles(rows, words, percent), "profiles")
     known = profile.filter("n > 0")
     classes = written(
-        known.groupBy("node", "check", "group", "n", "parity").agg(F.min("doc_id").alias("least_id")), "classes"
+        known.groupBy("node", "check", "group", "n", "parity", "wide").agg(F.min("doc_id").alias("least_id")), "classes"
     )
     crowded = classes.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("head")).filter(
         "members > 1")
-    crowd = written(classes.join(crowded, "group"), "prefix-groups")
+    crowd = written(classes.select("group", "node").join(crowded, "group"), "prefix-groups")
 
     # Prefix lists of groups, of the shingles that two groups at least share.
     heads = known.dropDuplicates(["group"]).select("group", "node", "n", "prefix")
@@ -308,7 +357,6 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     shared = written(shared.select("shingle"), "shared-shingles")
     lists = written(_postings(heads, shared).join(shared, "shingle", "left_semi"), "prefix-lists")
 
-    met = lists.select("group").distinct()
     verifier = _Verifier(rows, classes, words, percent)
 
     # First round: the least, the greatest and the most central group of each list.
@@ -331,13 +379,15 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
         (F.col("root") != F.col("pivot.root")) & _fits(F.col("n"), F.col("pivot.n"), percent)
         & _reach(F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place"), percent))
     more = verifier.links(_pairs(starred, F.col("node"), F.col("pivot.node")))
-    found = written(found.unionByName(more), "found-links")
+    first, found = found, written(found.unionByName(more), "found-links")
+    discard(entries, first, more)
 
     # Last: every pair from different components that sizes, places and parities do not rule out.
     entries = _open(lists, classes, crowd, found)
     bits = classes.groupBy("node").agg(F.min("parity").alias("parity"))
-    entries = written(entries.join(bits, "node").select(
+    bare, entries = entries, written(entries.join(bits, "node").select(
         "key", "node", "n", "place", "root", *_bits("parity", "x")), "open-lists")
+    discard(bare)
     other = entries.select("key", *(
         F.col(name).alias(f"other_{name}") for name in ("node", "n", "place", "root")),
         *(F.col(f"x{i}").alias(f"y{i}") for i in range(PARITY_BITS // 64)))
@@ -350,7 +400,9 @@ def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataF
         .filter(_few_differ("n", "x", "other_n", "y", percent))
     )
     rest = verifier.links(_pairs(rest, F.col("node"), F.col("other_node")))
-    return profile, components(found.unionByName(rest))
+    rooted = components(found.unionByName(rest))
+    discard(entries, found, rest, lists, shared, crowd, classes)
+    return profile, rooted
 
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

@@ -1,8 +1,11 @@
 import random
+from pathlib import Path
 
+import numpy as np
 import pytest
 from helpers import documents, nothing
 from plateia.llm import ngram_join
+from plateia.llm.common import shared_folder
 from plateia.llm.components import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -111,3 +114,35 @@ def test_components_of_hubs_chains_and_loops(spark):
     df = spark.createDataFrame(links * 2, "a BIGINT, b BIGINT").repartition(4)
     assert {r.node: r.root for r in components(df).collect()} == {n: find(n) for n in list(root)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_long_sets_link_as_brute_force(spark):
+    rng = random.Random(11)
+    base = " ".join(f"w{rng.randint(0, 300)}" for _ in range(2600))
+    other = " ".join(f"w{rng.randint(0, 300)}" for _ in range(2200))
+    texts = [base, other, base + " " + " ".join(base.split()[:50]), " ".join(base.split()[:2000]) + " " + other]
+    texts += [edited(rng, base, n) for n in (5, 40, 60, 70, 80, 100, 140, 400)]
+    texts += [edited(rng, other, n) for n in (10, 60, 90, 300)] + [" ".join(other.split()[:n]) for n in (1026, 1030, 1900)]
+    rows = [*enumerate(texts), (None, base), (None, other)]
+    for percent in (60, 85):
+        found = ngram_join.ngram_components(documents(spark, rows), 4, percent)
+        assert sorted(map(tuple, found.collect()), key=repr) == brute_force(rows, 4, percent)
+
+
+def test_folded_parities_differ_at_most_where_sets_do():
+    draw = np.random.default_rng(3)
+    for n, m in ((1025, 1025), (1100, 2047), (2049, 5000), (9000, 9001)):
+        common = draw.integers(0, 2**64, min(n, m) // 2, np.uint64)
+        x, y = (np.concatenate([common, draw.integers(0, 2**64, k - len(common), np.uint64)]) for k in (n, m))
+        bound = n + m - 2 * len(common)
+        seen = ngram_join._differing(ngram_join._wide(x), ngram_join._wide(y))
+        assert seen <= bound and (seen - bound) % 2 == 0 and seen > 0.1 * bound
+        assert ngram_join._differing(ngram_join._wide(x), ngram_join._wide(x)) == 0
+    assert ngram_join._wide(draw.integers(0, 2**64, 1024, np.uint64)) is None
+
+
+def test_intermediate_tables_go(spark):
+    before = set(Path(shared_folder(spark).removeprefix("file:")).glob("plateia/*"))
+    ngram_join.ngram_components(documents(spark, [*enumerate(corpus(4, 4))]), 4, 85).collect()
+    left = set(Path(shared_folder(spark).removeprefix("file:")).glob("plateia/*")) - before
+    assert {path.name.rsplit("-", 1)[0] for path in left} <= {"profiles", "links"}
