@@ -2,26 +2,27 @@
 
 A paragraph is a run of words of one line: eight, and then those up to a word whose
 hash is divisible by six, nine more at most. What a line has left at its end is one
-too. The cuts after an inserted word soon fall where they fell before. Texts are
-compared by the digests of all their paragraphs. For the stored fingerprint
-alone, long texts join neighbouring paragraphs, up to one whose digest is divisible
-by a power of two, so that every text has about ``units`` keys.
+too. The cuts after an inserted word soon fall where they fell before. The keys of a
+text are the distinct digests of all its paragraphs.
 
-A sketch hashes each key to three of its cells; a cell holds a count, the exclusive
-or of its keys and that of their checks. Subtracting the sketches of two versions
+A block of cells hashes each key to three of its cells; a cell holds a count, the
+exclusive or of its keys and that of their checks. The fingerprint of a text is its
+number of keys and one block of all of them. Subtracting the blocks of two versions
 leaves the keys that differ; peeling recovers them from cells that hold one key,
-which takes them out of their other cells, until nothing is left. A sixteenth of
-the keys tells about how many differ and so which sketches are too small. If peeling
-gets stuck, it is retried with sketches four times larger, while they have fewer cells
-than the texts have keys; what those cannot resolve is compared key by key. Likeness
-is common keys over all keys of both.
+which takes them out of their other cells, until nothing is left. If peeling gets
+stuck, it is retried with a sketch four times larger: keys are dealt to four times as
+many blocks by a new hash, blocks that peel are done, and the keys of those that don't
+go on to the next size. So a retry costs about as much as the first try at any size,
+every difference is peeled, and no two sets are compared directly. Likeness is common
+keys over all keys of both.
 
 Everything is a Column function; no Python runs on executors.
 
-Rows: a NULL text is empty, an empty text has no keys, two of them are alike (1).
-The next document is that of the next greater id, after the last the first; a NULL
-id counts as the least. Of rows that share an id, the one with the least text is
-the next of its predecessor. An empty table gives no rows. Extra columns are ignored.
+Rows: a NULL text is empty, an empty text has no keys, two of them are alike (1). A
+word that ends in U+0001 counts as one with a hash divisible by six. The next document
+is that of the next greater id, after the last the first; a NULL id counts as -2^63,
+the least. Of rows that share an id, the one with the least text is the next of its
+predecessor. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,8 +41,11 @@ PARAGRAPH = (
     r"|(?:\S++[^\S\n]*+){1,7}+"
 )
 LEAST = -(1 << 63)
-SIZES = (24, 96, 384)
+CELLS = 24
 HASHES = 3
+# 4^15 blocks hold any array of keys one by one.
+SIZES = 16
+ROUNDS = 14
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -58,42 +62,17 @@ def paragraph_digests(text: Column) -> Column:
     return F.transform(found, lambda paragraph: F.xxhash64(F.trim(paragraph)))
 
 
-def level(digests: Column, units: int = 32) -> Column:
-    """Powers of two by which neighbouring paragraphs are joined."""
-    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(digests), F.lit(1)) / units)).cast("int"))
-
-
-def keys(digests: Column, joined: Column) -> Column:
-    """The distinct keys of a text at a level."""
-
-    def runs(d: Column) -> Column:
-        n = F.size(d)
-        ends = F.filter(
-            F.sequence(F.lit(1), n),
-            lambda i: (i == n) | (F.pmod(F.element_at(d, i), F.call_function("shiftleft", F.lit(1).cast("bigint"), joined)) == 0),
-        )
-        return let(ends, lambda e: F.transform(e, lambda end, i: F.xxhash64(
-            F.slice(d, F.when(i == 0, 1).otherwise(F.try_element_at(e, F.greatest(i, F.lit(1))) + 1),
-                    end - F.when(i == 0, 0).otherwise(F.try_element_at(e, F.greatest(i, F.lit(1))))))))
-
-    return F.array_distinct(
-        F.when(F.size(digests) == 0, F.array().cast("array<bigint>"))
-        .when(joined == 0, digests)
-        .otherwise(runs(digests))
-    )
+def _check(key: Column) -> Column:
+    return F.xxhash64(key, F.lit(99)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _placed(key: Column, sign: Column, size: int) -> Column:
-    third = size // HASHES
-    places = [
-        (F.pmod(F.xxhash64(key, F.lit(r)), F.lit(third)) + r * third).cast("int").alias(f"p{r}")
+def _placed(key: Column, sign: Column, block: Column, size: Column) -> Column:
+    """A signed key with its block and the cells it has there, one in each third."""
+    cells = [
+        F.pmod(F.xxhash64(key, F.lit(r), size), F.lit(CELLS // HASHES)).cast("int").alias(f"p{r}")
         for r in range(HASHES)
     ]
-    return F.struct(sign.alias("c"), key.alias("k"), _check(key).alias("x"), *places)
-
-
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit(99)).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.struct(block.alias("b"), sign.alias("c"), key.alias("k"), _check(key).alias("x"), *cells)
 
 
 def _add(cell: Column, item: Column, sign: int) -> Column:
@@ -103,22 +82,18 @@ def _add(cell: Column, item: Column, sign: int) -> Column:
     )
 
 
-def _into(cell: Column, items: Column, place: Column, sign: int) -> Column:
-    """A cell with all items added, or taken out, that hash to it."""
-    here = F.filter(items, lambda t: (t["p0"] == place) | (t["p1"] == place) | (t["p2"] == place))
-    return F.aggregate(here, cell, lambda c, item: _add(c, item, sign))
-
-
 def _empty() -> Column:
     zero = F.lit(0).cast("bigint")
     return F.struct(F.lit(0).alias("c"), zero.alias("k"), zero.alias("x"))
 
 
-def sketch(key_set: Column, size: int) -> Column:
-    """The cells of a set of keys."""
-    items = F.transform(key_set, lambda key: _placed(key, F.lit(1), size))
-    return let(items, lambda own: F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda place: _into(_empty(), own, place, 1)))
+def sketch(items: Column) -> Column:
+    """The cells of a block of placed keys."""
+    def third(r: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(CELLS // HASHES - 1)), lambda place: F.aggregate(
+            F.filter(items, lambda t: t[f"p{r}"] == place), _empty(), lambda cell, t: _add(cell, t, 1)))
+
+    return F.concat(*(third(r) for r in range(HASHES)))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -126,52 +101,101 @@ def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: _add(x, y, -1))
 
 
-def peel(cells: Column, size: int, rounds: int = 14) -> Column:
-    """(cells, plus, minus): what is left, and how many keys of either side were recovered."""
+def peel(cells: Column, size: Column) -> Column:
+    """(cells, found, on): what is left, and how many keys were recovered."""
+
+    def taken(state: Column, items: Column) -> Column:
+        def out(cell: Column, place: Column) -> Column:
+            at = F.pmod(place, F.lit(CELLS // HASHES))
+            here = F.filter(items, lambda t: at == F.when(place < CELLS // 3, t["p0"]).when(
+                place < CELLS // 3 * 2, t["p1"]).otherwise(t["p2"]))
+            return F.aggregate(here, cell, lambda c, t: _add(c, t, -1))
+
+        return F.struct(
+            F.transform(state["cells"], out).alias("cells"), (state["found"] + F.size(items)).alias("found"),
+            (F.size(items) > 0).alias("on"))
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["x"]))
-        found = F.array_distinct(F.transform(pure, lambda c: _placed(c["k"], c["c"], size)))
+        found = F.array_distinct(F.transform(pure, lambda c: _placed(c["k"], c["c"], F.lit(0).cast("bigint"), size)))
+        return F.when(state["on"], let(found, lambda items: taken(state, items))).otherwise(state)
+
+    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"), F.lit(True).alias("on"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
+
 
-        def taken(items: Column) -> Column:
-            left = F.transform(state["cells"], lambda c, place: _into(c, items, place, -1))
-            plus = F.size(F.filter(items, lambda t: t["c"] == 1))
-            after = F.struct(
-                left.alias("cells"), (state["plus"] + plus).alias("plus"),
-                (state["minus"] + F.size(items) - plus).alias("minus"),
-            )
-            return F.when(F.size(items) == 0, state).otherwise(after)
+def _block_difference(items: Column, size: Column) -> Column:
+    """How many keys of a block differ between its two sides; NULL if peeling gets stuck."""
+    def side(sign: int) -> Column:
+        return F.transform(F.filter(items, lambda t: t["c"] == sign), lambda t: t.withField("c", F.lit(1)))
 
-        return let(found, taken)
+    def counted(state: Column) -> Column:
+        clean = F.forall(state["cells"], lambda c: (c["c"] == 0) & (c["k"] == 0) & (c["x"] == 0))
+        return F.when(clean, state["found"])
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
+    cells = let(side(1), lambda a: let(side(-1), lambda b: subtract(sketch(a), sketch(b))))
+    return let(peel(cells, size), counted)
 
 
-def _unresolved() -> Column:
-    return F.lit(None).cast("int")
+def _blocks(items: Column) -> Column:
+    """Runs of the items of one block, from items sorted by block."""
+    n = F.size(items)
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
+        F.element_at(items, i)["b"] != F.element_at(items, F.greatest(i - 1, F.lit(1)))["b"]))
+    return let(starts, lambda at: F.transform(at, lambda start, i: F.slice(
+        items, start, F.coalesce(F.get(at, i + 1), n + 1) - start)))
 
 
-def difference(a: Column, b: Column, size: int) -> Column:
-    """How many keys differ between two sets, by peeling; NULL if sketches of this size get stuck."""
-    def counted(state: Column) -> Column:
-        clean = F.forall(state["cells"], lambda c: (c["c"] == 0) & (c["k"] == 0) & (c["x"] == 0))
-        return F.when(clean, state["plus"] + state["minus"]).otherwise(_unresolved())
+def tries(a: Column, b: Column) -> Column:
+    """(found, left, sizes): differing keys peeled, items that no size resolved, sizes tried.
+
+    Size 0 is one block of all keys: the sketches of the two fingerprints.
+    """
+    def signed(key_set: Column, sign: int) -> Column:
+        return F.transform(key_set, lambda key: F.struct(F.lit(sign).alias("c"), key.alias("k")))
+
+    def retried(state: Column, size: Column) -> Column:
+        blocks = F.call_function("shiftleft", F.lit(1).cast("bigint"), 2 * size)
+        dealt = F.sort_array(F.transform(state["left"], lambda t: _placed(
+            t["k"], t["c"], F.pmod(F.xxhash64(t["k"], F.lit(HASHES), size), blocks), size)))
+        peeled = let(dealt, lambda items: F.transform(_blocks(items), lambda block: F.struct(
+            block.alias("items"), _block_difference(block, size).alias("found"))))
+
+        def after(done: Column) -> Column:
+            stuck = F.flatten(F.transform(F.filter(done, lambda d: d["found"].isNull()), lambda d: d["items"]))
+            return F.struct(
+                F.aggregate(done, state["found"], lambda n, d: n + F.coalesce(d["found"], F.lit(0))).alias("found"),
+                F.transform(stuck, lambda t: F.struct(t["c"].alias("c"), t["k"].alias("k"))).alias("left"),
+                (state["sizes"] + 1).alias("sizes"))
+
+        return F.when(F.size(state["left"]) == 0, state).otherwise(let(peeled, after))
 
-    return let(peel(subtract(sketch(a, size), sketch(b, size)), size), counted)
+    start = F.struct(
+        F.lit(0).alias("found"), F.concat(signed(a, 1), signed(b, -1)).alias("left"), F.lit(0).alias("sizes"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(SIZES - 1)), start, retried)
 
 
-def likeness(a: Column, b: Column, differing: Column) -> Column:
+def difference(a: Column, b: Column) -> Column:
+    """How many keys differ between two sets, peeled out of sketches as large as it takes."""
+    return tries(a, b)["found"]
+
+
+def likeness(a: Column, b: Column) -> Column:
     """Common keys over all keys of both, from the number of differing ones."""
-    everything = (F.size(a) + F.size(b) + differing) / 2
-    return F.when(everything == 0, 1.0).otherwise((everything - differing) / everything)
+    def share(differing: Column) -> Column:
+        everything = (F.size(a) + F.size(b) + differing) / 2
+        return F.when(everything == 0, 1.0).otherwise((everything - differing) / everything)
+
+    return let(difference(a, b), share)
 
 
-def encode(key_set: Column, joined: Column) -> Column:
-    """The base sketch as text: level, number of keys, then count, keys and checks of each cell."""
-    cells = F.transform(sketch(key_set, SIZES[0]), lambda c: F.concat(
-        F.lpad(F.hex(c["c"]), 2, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 8, "0")))
-    return F.concat_ws(".", joined.cast("string"), F.size(key_set).cast("string"), F.array_join(cells, ""))
+def encode(key_set: Column) -> Column:
+    """The fingerprint: the number of keys, then count, keys and checks of each cell of size 0."""
+    zero = F.lit(0)
+    items = F.transform(key_set, lambda key: _placed(key, F.lit(1), zero.cast("bigint"), zero))
+    cells = let(items, lambda own: F.transform(sketch(own), lambda c: F.concat(
+        F.lpad(F.hex(c["c"]), 8, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 8, "0"))))
+    return F.concat_ws(".", F.size(key_set).cast("string"), F.array_join(cells, ""))
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
@@ -197,34 +221,14 @@ def next_ids(ids: DataFrame) -> DataFrame:
         "id", F.coalesce("next_id", "follower").alias("next_id"))
 
 
-def _apart(a: Column, b: Column) -> Column:
-    """How many keys differ between two sets, key by key."""
-    return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-
-
-def _some(key_set: Column) -> Column:
-    return F.filter(key_set, lambda key: F.pmod(key, F.lit(16)) == 0)
-
-
-def _resolved(pairs: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """Peel, retrying larger on failure; what the largest sketch leaves is counted key by key."""
-    name, about = f"_{out}", f"_about_{out}"
-    pairs = pairs.withColumn(name, _unresolved()).withColumn(about, 16 * _apart(_some(F.col(a)), _some(F.col(b))))
-    for size in SIZES:
-        wanted = F.col(name).isNull() & (F.col(about) <= 2 * size) & (2 * size <= F.size(a) + F.size(b))
-        retried = F.when(wanted, difference(F.col(a), F.col(b), size)).otherwise(F.col(name))
-        pairs = pairs.withColumn(name, retried)
-    differing = F.coalesce(F.col(name), _apart(F.col(a), F.col(b)))
-    return pairs.withColumn(out, likeness(F.col(a), F.col(b), differing))
-
-
-def fingerprint_edits(docs: DataFrame, units: int = 32) -> DataFrame:
+def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited version, and how alike they are.
 
     The edited text has its last quarter of code points replaced by the first as
     many of the next document.
     """
     rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
@@ -246,26 +250,16 @@ def fingerprint_edits(docs: DataFrame, units: int = 32) -> DataFrame:
         .withColumn("quarter", F.floor(F.col("n_chars") / 4).cast("int"))
         .withColumn("edited", edited)
         .select(
-            "id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-            paragraph_digests(F.col("text")).alias("own"), paragraph_digests(F.col("edited")).alias("new"),
-            F.col("next.digests").alias("follower"),
+            "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+            F.array_distinct(paragraph_digests(F.col("text"))).alias("own"),
+            F.array_distinct(paragraph_digests(F.col("edited"))).alias("new"),
+            F.array_distinct("next.digests").alias("follower"),
         ),
         "paragraph-digests",
     )
-    keyed = digested.withColumns({
-        "own_level": level(F.col("own"), units),
-        "new_level": level(F.col("new"), units),
-        "own_set": F.array_distinct("own"),
-        "new_set": F.array_distinct("new"),
-        "next_set": F.array_distinct("follower"),
-    }).withColumns({
-        "own_keys": keys(F.col("own"), F.col("own_level")),
-        "new_keys": keys(F.col("new"), F.col("new_level")),
-    })
-    compared = _resolved(_resolved(keyed, "own_set", "new_set", "near_edited"), "own_set", "next_set", "near_next")
-    return compared.select(
-        F.nullif("id", F.lit(LEAST)).alias("doc_id"), "n_chars", "edited_sha256",
-        encode(F.col("own_keys"), F.col("own_level")).alias("fingerprint"),
-        encode(F.col("new_keys"), F.col("new_level")).alias("edited_fingerprint"),
-        "near_edited", "near_next",
+    return digested.select(
+        "doc_id", "n_chars", "edited_sha256",
+        encode(F.col("own")).alias("fingerprint"), encode(F.col("new")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("new")).alias("near_edited"),
+        likeness(F.col("own"), F.col("follower")).alias("near_next"),
     )
