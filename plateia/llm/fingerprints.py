@@ -5,23 +5,23 @@ hash is divisible by six, nine more at most. What a line has left at its end is
 too. The cuts after an inserted word soon fall where they fell before. The keys of a
 text are the distinct digests of all its paragraphs.
 
-A block of cells hashes each key to three of its cells; a cell holds a count, the
-exclusive or of its keys and that of their checks. The fingerprint of a text is its
-number of keys and one block of all of them. Subtracting the blocks of two versions
-leaves the keys that differ; peeling recovers them from cells that hold one key,
-which takes them out of their other cells, until nothing is left. If peeling gets
-stuck, it is retried with a sketch four times larger: keys are dealt to four times as
-many blocks by a new hash, blocks that peel are done, and the keys of those that don't
-go on to the next size. So a retry costs about as much as the first try at any size,
-every difference is peeled, and no two sets are compared directly. Likeness is common
-keys over all keys of both.
+A sketch hashes each key to three of its cells; a cell holds a count, the exclusive or
+of its keys and that of their checks. The fingerprint of a text is its number of keys
+and a sketch of 24 cells of them all. Subtracting the sketches of two versions leaves
+the keys that differ; peeling recovers them from cells that hold one key, which takes
+them out of their other cells, until nothing is left. If peeling gets stuck, it is
+retried with a sketch eight times larger, in blocks of 12 cells: a new hash deals the
+keys to the blocks, blocks that peel are done, and the keys of those that don't go on
+to the next size. So a retry costs in proportion to its keys, every difference is
+peeled, and no two sets are compared directly. Likeness is common keys over all keys
+of both.
 
 Everything is a Column function; no Python runs on executors.
 
 Rows: a NULL text is empty, an empty text has no keys, two of them are alike (1). A
 word that ends in U+0001 counts as one with a hash divisible by six. The next document
-is that of the next greater id, after the last the first; a NULL id counts as -2^63,
-the least. Of rows that share an id, the one with the least text is the next of its
+is that of the next greater id, after the last the first; a NULL id counts as
+less than any. Of rows that share an id, the one with the least text is the next of its
 predecessor. An empty table gives no rows. Extra columns are ignored.
 """
 
@@ -40,11 +40,12 @@ PARAGRAPH = (
     r"(?:\S++[^\S\n]*+){8}+(?:[^\s\x01]++[^\S\n]++){0,8}+\S*+"
     r"|(?:\S++[^\S\n]*+){1,7}+"
 )
-LEAST = -(1 << 63)
-CELLS = 24
+NO_ID = -(1 << 63) - 1
+CELLS = 24  # of a fingerprint
+BLOCK = 12  # of a block of a larger sketch
 HASHES = 3
-# 4^15 blocks hold any array of keys one by one.
-SIZES = 16
+# Blocks of the largest size outnumber the keys an array can hold.
+SIZES = 12
 ROUNDS = 14
 
 
@@ -66,75 +67,69 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(99)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _placed(key: Column, sign: Column, block: Column, size: Column) -> Column:
+def _placed(key: Column, sign: Column, block: Column, size: Column, cells: int) -> Column:
     """A signed key with its block and the cells it has there, one in each third."""
-    cells = [
-        F.pmod(F.xxhash64(key, F.lit(r), size), F.lit(CELLS // HASHES)).cast("int").alias(f"p{r}")
+    places = [
+        F.pmod(F.xxhash64(key, F.lit(r), size), F.lit(cells // HASHES)).cast("int").alias(f"p{r}")
         for r in range(HASHES)
     ]
-    return F.struct(block.alias("b"), sign.alias("c"), key.alias("k"), _check(key).alias("x"), *cells)
+    return F.struct(block.alias("b"), sign.alias("c"), key.alias("k"), _check(key).alias("x"), *places)
 
 
-def _add(cell: Column, item: Column, sign: int) -> Column:
+def _add(cell: Column, c: Column, item: Column) -> Column:
     return F.struct(
-        (cell["c"] + sign * item["c"]).alias("c"), cell["k"].bitwiseXOR(item["k"]).alias("k"),
+        (cell["c"] + c).alias("c"), cell["k"].bitwiseXOR(item["k"]).alias("k"),
         cell["x"].bitwiseXOR(item["x"]).alias("x"),
     )
 
 
-def _empty() -> Column:
+def sketch(items: Column, cells: int) -> Column:
+    """The cells of placed keys; those of signed keys are a difference of sketches."""
     zero = F.lit(0).cast("bigint")
-    return F.struct(F.lit(0).alias("c"), zero.alias("k"), zero.alias("x"))
+    empty = F.struct(F.lit(0).alias("c"), zero.alias("k"), zero.alias("x"))
 
-
-def sketch(items: Column) -> Column:
-    """The cells of a block of placed keys."""
     def third(r: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(CELLS // HASHES - 1)), lambda place: F.aggregate(
-            F.filter(items, lambda t: t[f"p{r}"] == place), _empty(), lambda cell, t: _add(cell, t, 1)))
+        return F.transform(F.sequence(F.lit(0), F.lit(cells // HASHES - 1)), lambda place: F.aggregate(
+            F.filter(items, lambda t: t[f"p{r}"] == place), empty, lambda cell, t: _add(cell, t["c"], t)))
 
     return F.concat(*(third(r) for r in range(HASHES)))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """Cells of the keys in which two sketches differ: count 1 for a's, -1 for b's."""
-    return F.zip_with(a, b, lambda x, y: _add(x, y, -1))
+    return F.zip_with(a, b, lambda x, y: _add(x, -y["c"], y))
 
 
-def peel(cells: Column, size: Column) -> Column:
+def peel(cells: Column, size: Column, n: int) -> Column:
     """(cells, found, on): what is left, and how many keys were recovered."""
 
     def taken(state: Column, items: Column) -> Column:
-        def out(cell: Column, place: Column) -> Column:
-            at = F.pmod(place, F.lit(CELLS // HASHES))
-            here = F.filter(items, lambda t: at == F.when(place < CELLS // 3, t["p0"]).when(
-                place < CELLS // 3 * 2, t["p1"]).otherwise(t["p2"]))
-            return F.aggregate(here, cell, lambda c, t: _add(c, t, -1))
+        def third(r: int) -> Column:
+            cells = F.slice(state["cells"], r * (n // HASHES) + 1, n // HASHES)
+            return F.transform(cells, lambda cell, place: F.aggregate(
+                F.filter(items, lambda t: t[f"p{r}"] == place), cell, lambda c, t: _add(c, -t["c"], t)))
 
         return F.struct(
-            F.transform(state["cells"], out).alias("cells"), (state["found"] + F.size(items)).alias("found"),
-            (F.size(items) > 0).alias("on"))
+            F.concat(*(third(r) for r in range(HASHES))).alias("cells"),
+            (state["found"] + F.size(items)).alias("found"), (F.size(items) > 0).alias("on"))
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["x"]))
-        found = F.array_distinct(F.transform(pure, lambda c: _placed(c["k"], c["c"], F.lit(0).cast("bigint"), size)))
+        keys = F.array_distinct(F.transform(pure, lambda c: F.struct(c["c"].alias("c"), c["k"].alias("k"))))
+        found = F.transform(keys, lambda t: _placed(t["k"], t["c"], F.lit(0).cast("bigint"), size, n))
         return F.when(state["on"], let(found, lambda items: taken(state, items))).otherwise(state)
 
     start = F.struct(cells.alias("cells"), F.lit(0).alias("found"), F.lit(True).alias("on"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
 
-def _block_difference(items: Column, size: Column) -> Column:
-    """How many keys of a block differ between its two sides; NULL if peeling gets stuck."""
-    def side(sign: int) -> Column:
-        return F.transform(F.filter(items, lambda t: t["c"] == sign), lambda t: t.withField("c", F.lit(1)))
-
+def _resolved(cells: Column, size: Column, n: int) -> Column:
+    """How many keys a difference of sketches holds; NULL if peeling gets stuck."""
     def counted(state: Column) -> Column:
         clean = F.forall(state["cells"], lambda c: (c["c"] == 0) & (c["k"] == 0) & (c["x"] == 0))
         return F.when(clean, state["found"])
 
-    cells = let(side(1), lambda a: let(side(-1), lambda b: subtract(sketch(a), sketch(b))))
-    return let(peel(cells, size), counted)
+    return let(peel(cells, size, n), counted)
 
 
 def _blocks(items: Column) -> Column:
@@ -146,20 +141,26 @@ def _blocks(items: Column) -> Column:
         items, start, F.coalesce(F.get(at, i + 1), n + 1) - start)))
 
 
-def tries(a: Column, b: Column) -> Column:
+def whole_sketch(key_set: Column) -> Column:
+    """The sketch of size 0, one block of all keys, which the fingerprint stores."""
+    items = F.transform(key_set, lambda key: _placed(key, F.lit(1), F.lit(0).cast("bigint"), F.lit(0), CELLS))
+    return let(items, lambda own: sketch(own, CELLS))
+
+
+def tries(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
     """(found, left, sizes): differing keys peeled, items that no size resolved, sizes tried.
 
-    Size 0 is one block of all keys: the sketches of the two fingerprints.
+    ``a_cells`` and ``b_cells`` are the whole sketches of the sets, tried first.
     """
     def signed(key_set: Column, sign: int) -> Column:
         return F.transform(key_set, lambda key: F.struct(F.lit(sign).alias("c"), key.alias("k")))
 
     def retried(state: Column, size: Column) -> Column:
-        blocks = F.call_function("shiftleft", F.lit(1).cast("bigint"), 2 * size)
+        blocks = F.call_function("shiftleft", F.lit(2).cast("bigint"), 3 * size)
         dealt = F.sort_array(F.transform(state["left"], lambda t: _placed(
-            t["k"], t["c"], F.pmod(F.xxhash64(t["k"], F.lit(HASHES), size), blocks), size)))
+            t["k"], t["c"], F.pmod(F.xxhash64(t["k"], F.lit(HASHES), size), blocks), size, BLOCK)))
         peeled = let(dealt, lambda items: F.transform(_blocks(items), lambda block: F.struct(
-            block.alias("items"), _block_difference(block, size).alias("found"))))
+            block.alias("items"), _resolved(sketch(block, BLOCK), size, BLOCK).alias("found"))))
 
         def after(done: Column) -> Column:
             stuck = F.flatten(F.transform(F.filter(done, lambda d: d["found"].isNull()), lambda d: d["items"]))
@@ -170,32 +171,28 @@ def tries(a: Column, b: Column) -> Column:
 
         return F.when(F.size(state["left"]) == 0, state).otherwise(let(peeled, after))
 
-    start = F.struct(
-        F.lit(0).alias("found"), F.concat(signed(a, 1), signed(b, -1)).alias("left"), F.lit(0).alias("sizes"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(SIZES - 1)), start, retried)
+    def first(found: Column) -> Column:
+        everything = F.concat(signed(a, 1), signed(b, -1))
+        left = F.when(found.isNull(), everything).otherwise(F.slice(everything, 1, 0))
+        start = F.struct(F.coalesce(found, F.lit(0)).alias("found"), left.alias("left"), F.lit(1).alias("sizes"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(SIZES - 1)), start, retried)
 
+    return let(_resolved(subtract(a_cells, b_cells), F.lit(0), CELLS), first)
 
-def difference(a: Column, b: Column) -> Column:
-    """How many keys differ between two sets, peeled out of sketches as large as it takes."""
-    return tries(a, b)["found"]
 
-
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
     """Common keys over all keys of both, from the number of differing ones."""
     def share(differing: Column) -> Column:
         everything = (F.size(a) + F.size(b) + differing) / 2
         return F.when(everything == 0, 1.0).otherwise((everything - differing) / everything)
 
-    return let(difference(a, b), share)
+    return let(tries(a, b, a_cells, b_cells)["found"], share)
 
 
-def encode(key_set: Column) -> Column:
-    """The fingerprint: the number of keys, then count, keys and checks of each cell of size 0."""
-    zero = F.lit(0)
-    items = F.transform(key_set, lambda key: _placed(key, F.lit(1), zero.cast("bigint"), zero))
-    cells = let(items, lambda own: F.transform(sketch(own), lambda c: F.concat(
-        F.lpad(F.hex(c["c"]), 8, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 8, "0"))))
-    return F.concat_ws(".", F.size(key_set).cast("string"), F.array_join(cells, ""))
+def encode(key_set: Column, cells: Column) -> Column:
+    """The fingerprint: the number of keys, then count, keys and checks of each cell of the whole sketch."""
+    return F.concat_ws(".", F.size(key_set).cast("string"), F.array_join(F.transform(cells, lambda c: F.concat(
+        F.lpad(F.hex(c["c"]), 8, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["x"]), 8, "0"))), ""))
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
@@ -227,9 +224,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     The edited text has its last quarter of code points replaced by the first as
     many of the next document.
     """
+    no_id = F.lit(str(NO_ID)).cast("decimal(20,0)")
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("id"),
+        F.coalesce(F.col("doc_id").cast("bigint").cast("decimal(20,0)"), no_id).alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     quarter = F.floor(F.char_length("text") / 4).cast("int")
@@ -250,16 +247,21 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         .withColumn("quarter", F.floor(F.col("n_chars") / 4).cast("int"))
         .withColumn("edited", edited)
         .select(
-            "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+            "id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
             F.array_distinct(paragraph_digests(F.col("text"))).alias("own"),
             F.array_distinct(paragraph_digests(F.col("edited"))).alias("new"),
             F.array_distinct("next.digests").alias("follower"),
         ),
         "paragraph-digests",
     )
-    return digested.select(
-        "doc_id", "n_chars", "edited_sha256",
-        encode(F.col("own")).alias("fingerprint"), encode(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("new")).alias("near_edited"),
-        likeness(F.col("own"), F.col("follower")).alias("near_next"),
+    cells = digested.withColumns({f"{name}_cells": whole_sketch(F.col(name)) for name in ("own", "new", "follower")})
+
+    def like(a: str, b: str) -> Column:
+        return likeness(*map(F.col, (a, b, f"{a}_cells", f"{b}_cells")))
+
+    return cells.select(
+        F.nullif("id", no_id).cast("bigint").alias("doc_id"), "n_chars", "edited_sha256",
+        encode(F.col("own"), F.col("own_cells")).alias("fingerprint"),
+        encode(F.col("new"), F.col("new_cells")).alias("edited_fingerprint"),
+        like("own", "new").alias("near_edited"), like("own", "follower").alias("near_next"),
     )

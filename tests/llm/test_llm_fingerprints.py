@@ -63,11 +63,12 @@ def test_peeling_recovers_every_difference(spark):
         right = [rng.getrandbits(62) for _ in range(rng.randint(0, size // 2))]
         rows.append((common + left, right + common, len(left) + len(right)))
     df = spark.createDataFrame(rows, "a ARRAY<BIGINT>, b ARRAY<BIGINT>, n INT")
-    found = df.select("n", F.size("a").alias("most"), fp.tries(F.col("a"), F.col("b")).alias("t")).collect()
+    found = df.select("n", F.size("a").alias("most"), fp.tries(
+        F.col("a"), F.col("b"), fp.whole_sketch(F.col("a")), fp.whole_sketch(F.col("b"))).alias("t")).collect()
     for row in found:
         assert row.t.found == row.n and row.t.left == []  # at every size, however many differ
     assert all(row.t.sizes <= 2 for row in found if 0 < row.n <= 8)
-    assert any(row.t.sizes >= 3 for row in found if row.most > 100)  # more keys than a block holds: retried larger
+    assert any(row.t.sizes >= 3 for row in found if row.most > 100)  # more keys than 16 blocks hold: retried larger
 
 
 def test_likeness_is_the_share_of_common_paragraphs(spark):
@@ -122,8 +123,8 @@ def test_awkward_rows(spark):
     assert fp.fingerprint_edits(nothing(spark)).count() == 0
     alone = fp.fingerprint_edits(documents(spark, ["abcdefgh"])).first()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
-    rows = fp.fingerprint_edits(documents(spark, [(1, "one two. three"), (1, "one two. three"), (None, "a. b. c"), (1, "b")])).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, 1)] * 3 + [(True, 0)]
+    rows = fp.fingerprint_edits(documents(spark, [(1, "one two. three"), (1, "one two. three"), (None, "a. b. c"), (1, "b"), (-(1 << 63), "x")])).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, -(1 << 63)), *[(False, 1)] * 3, (True, 0)]
 
 
 def test_likeness_is_that_of_all_paragraphs_at_every_length(spark):
