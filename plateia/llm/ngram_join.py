@@ -133,7 +133,7 @@ def _differing(x: bytes, y: bytes) -> int:
 
 
 def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, the class (node, check), parities, the prefix and its group, of every document."""
+    """doc_id, mark, n, the class (node, check), parities, the prefix and its group, of every document."""
     ranks = rarity(docs, words)
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,23 +141,23 @@ def profiles(docs: DataFrame, words: int, percent: int) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 rows = []
                 part = batch.slice(at, 2000)
-                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"]):
+                for doc_id, mark, text in zip(part["doc_id"].to_pylist(), part["mark"].to_pylist(), part["text"]):
                     own = shingles(text.as_py(), words)
                     if not len(own):
-                        rows.append((doc_id, 0, *[None] * 6))
+                        rows.append((doc_id, mark, 0, *[None] * 6))
                         continue
                     order = np.lexsort((own, ranks[_cells(own)]))
                     prefix = own[order[: prefix_length(len(own), percent)]].view(np.int64)
                     group = _digest(np.append(prefix, len(own)))[0]
-                    rows.append((doc_id, len(own), *_digest(own), _parity(own), _wide(own), group, prefix))
+                    rows.append((doc_id, mark, len(own), *_digest(own), _parity(own), _wide(own), group, prefix))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    names = ["doc_id", "n", "node", "check", "parity", "wide", "group", "prefix"]
-    kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+    names = ["doc_id", "mark", "n", "node", "check", "parity", "wide", "group", "prefix"]
+    kinds = [pa.int64(), pa.string(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.list_(pa.int64())]
     return docs.mapInArrow(
         profile,
-        "doc_id BIGINT, n BIGINT, node BIGINT, check BIGINT, parity ARRAY<BIGINT>, wide BINARY, group BIGINT, "
-        "prefix ARRAY<BIGINT>",
+        "doc_id BIGINT, mark STRING, n BIGINT, node BIGINT, check BIGINT, parity ARRAY<BIGINT>, wide BINARY, "
+        "group BIGINT, prefix ARRAY<BIGINT>",
     )
 
 
@@ -340,7 +340,7 @@ def _open(lists: DataFrame, classes: DataFrame, crowd: DataFrame, links: DataFra
 
 def similarity_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Profiles of all documents, and the (node, root) of every class that links with another."""
-    rows = only(docs, doc_id=F.col("doc_id").cast("bigint"), text="text")
+    rows = only(docs, doc_id=F.col("doc_id").cast("bigint"), mark=F.md5("text"), text="text")
     profile = written(profiles(rows, words, percent), "profiles")
     known = profile.filter("n > 0")
     classes = written(
@@ -419,10 +419,27 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the least id of each component, and all that link with nothing.
+    """One row of each component, and all rows that link with nothing.
 
-    An id goes when all its rows are linked to a lesser id; rows without an id stay.
+    The row kept has the component's least id, NULL last, and of such rows the least
+    digest of its text; of rows equal in both one stays. Rows without words stay all.
     """
-    found = ngram_components(docs, words, percent).filter("doc_id IS NOT NULL")
-    gone = found.groupBy("doc_id").agg(F.bool_and(F.col("component_id") < F.col("doc_id")).alias("_gone"))
-    return docs.join(gone.filter("_gone").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    profile, rooted = similarity_classes(docs, words, percent)
+    keyed = profile.filter("n > 0").join(rooted, "node", "left").select(
+        "doc_id", "mark", F.coalesce("root", "node").alias("root"))
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    best = keyed.groupBy("root").agg(F.min(least).alias("best")).select("best.doc_id", "best.mark", F.lit(True).alias("kept"))
+    counted = keyed.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("rows")).alias("c")
+    same = F.col("c.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("c.mark") == F.col("b.mark"))
+    fates = written(counted.join(best.alias("b"), same, "left").select(
+        "c.doc_id", "c.mark", "rows", F.coalesce("kept", F.lit(False)).alias("kept")).filter("rows > 1 OR NOT kept"), "fates")
+
+    mark = "_mark"
+    while mark in (name.lower() for name in docs.columns):
+        mark += "_"
+    marked = docs.withColumn(mark, F.md5("text")).alias("d")
+    fates = fates.alias("f")
+    this = F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("f.doc_id")) & (F.col(f"d.{mark}") == F.col("f.mark"))
+    single = marked.join(fates, this, "left_anti")
+    repeated = marked.join(fates.filter("kept"), this, "left_semi").dropDuplicates(["doc_id", mark])
+    return single.unionByName(repeated).select(*docs.columns)

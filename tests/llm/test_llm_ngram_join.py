@@ -78,7 +78,18 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == df.columns
     expected = {i for i, _, root in brute_force(list(enumerate(texts)), 5, 80) if i == root}
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(expected)
-    assert kept.filter("doc_id IS NULL").count() == 1
+    assert kept.filter("doc_id IS NULL").count() == 0  # its copy with an id stays
+
+
+def test_one_row_of_repeated_and_missing_ids_stays(spark):
+    a, b, c = ("one two three four five six", "ten nine eight seven six five", "x y z u v w")
+    rows = [(1, a), (1, a), (2, a), (1, b), (None, b), (None, c), (None, c), (5, ""), (5, ""), (None, None), (None, None)]
+    df = documents(spark, rows, _mark="x", kept="y", rows="z")
+    kept = ngram_join.keep_one_of_each(df, 5, 80)
+    assert kept.columns == df.columns and {(r["_mark"], r.kept, r.rows) for r in kept.collect()} == {("x", "y", "z")}
+    expected = [(1, a), (1, b), (None, c), (5, ""), (5, ""), (None, None), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+    assert ngram_join.keep_one_of_each(df.limit(0), 5, 80).count() == 0
 
 
 def test_nothing_and_nothing_alike(spark):
