@@ -16,8 +16,9 @@ order ten bits at a time, so no task sees more than 1024 sums of a source.
 
 Rows: a NULL source is the same as an empty one; NULL texts and texts without
 words have no tokens and come with whole passes only; a source without tokens is
-passed once. A NULL doc_id sorts first in the first block. Rows that repeat a
-doc_id in the last block are taken together or not at all. An empty table gives
+passed once. Rows without a doc_id are dealt over blocks of their own by a hash of
+their texts. Rows that repeat a doc_id in the last block, and copies without one, are
+taken together or not at all. An empty table gives
 no rows. Extra columns are kept; ``epoch`` and ``mix_order`` replace such columns.
 """
 
@@ -34,8 +35,6 @@ from plateia.llm.common import written
 WAYS = 32
 ROUNDS = 7
 LEAST = -(1 << 63)
-FEW_SOURCES = 100_000
-SALTS = 256
 
 
 def count_words(text: Column) -> Column:
@@ -101,7 +100,9 @@ def find_exponent(
 
 
 def _block(block_docs: int) -> Column:
-    return F.floor(F.coalesce(F.col("doc_id"), F.lit(0)) / block_docs).cast("bigint")
+    """Neighbouring ids; texts without an id are dealt over blocks below those of any id."""
+    by_text = F.lit(LEAST) + F.pmod(F.xxhash64("text"), F.lit(1 << 56))
+    return F.coalesce(F.floor(F.col("doc_id").cast("bigint") / block_docs).cast("bigint"), by_text)
 
 
 def _order(seed: int, epoch: Column, block: Column) -> Column:
@@ -113,16 +114,12 @@ def _source() -> Column:
 
 
 def _of_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
-    """Join rows with the one row of their source, without gathering a source anywhere.
+    """Join rows with the one row of their source.
 
-    A table of at most ``FEW_SOURCES`` rows goes to every task. A larger one is
-    repeated under a salt that also deals the rows of each source out.
+    The planner sends a table of sources that is small, as it was written, to every
+    task; of a larger one it splits the partitions that a hot source fills.
     """
-    if per_source.count() <= FEW_SOURCES:
-        return rows.join(F.broadcast(per_source), "_source")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    return salted.join(per_source.withColumn("_salt", salts), ["_source", "_salt"]).drop("_salt")
+    return rows.join(per_source, "_source")
 
 
 def plan_mix(
@@ -133,8 +130,8 @@ def plan_mix(
     counted = written(
         docs.select(
             _source().alias("_source"), F.col("doc_id").cast("bigint").alias("doc_id"),
-            count_words(F.col("text")).alias("_tokens"),
-        ).withColumn("_block", _block(block_docs)),
+            count_words(F.col("text")).alias("_tokens"), _block(block_docs).alias("_block"),
+        ),
         "mix-counts",
     )
     blocks = written(counted.groupBy("_source", "_block").agg(F.sum("_tokens").alias("_tokens")), "mix-blocks")
@@ -181,7 +178,8 @@ def _cuts(counted: DataFrame, blocks: DataFrame, plan: DataFrame, seed: int) ->
         )
         left = left.drop("_rest").join(cut, ["_source", "_bin"]).withColumnRenamed("_left", "_rest")
     left = written(left.select("_source", "_block", "_at", "_bin", "_rest"), "mix-cuts")
-    own = counted.join(left, ["_source", "_block"]).withColumn("_doc", F.coalesce("doc_id", F.lit(LEAST)))
+    own = counted.join(left, ["_source", "_block"]).groupBy(
+        "_source", "_at", "_rest", F.coalesce("doc_id", F.lit(LEAST)).alias("_doc")).agg(F.sum("_tokens").alias("_tokens"))
     to = F.sum("_tokens").over(Window.partitionBy("_source").orderBy("_at", "_doc"))
     fits = own.withColumn("_to", to).filter("_to <= _rest").groupBy("_source").agg(
         F.max(F.struct("_at", "_doc")).alias("_last")

@@ -108,11 +108,27 @@ def test_budget_and_target_entropy(spark):
         assert p.budget - 30 <= mixed_tokens[source] <= p.budget
 
 
-def test_many_sources_take_the_salted_join(spark, monkeypatch):
+def test_shuffled_sources_give_the_same_mix(spark):
     df, rows = corpus(spark, SIZES)
     before = sorted((r.doc_id, r.epoch) for r in mixing.mix_sources(df, repetition=1.5).collect())
-    monkeypatch.setattr(mixing, "FEW_SOURCES", 1)
-    assert sorted((r.doc_id, r.epoch) for r in mixing.mix_sources(df, repetition=1.5).collect()) == before
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted((r.doc_id, r.epoch) for r in mixing.mix_sources(df, repetition=1.5).collect()) == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_rows_without_an_id_are_many_blocks(spark):
+    df = documents(spark, [(None, f"w{i} x") for i in range(300)] + [(None, "a b")] * 40)
+    df = df.withColumn("source", F.when(F.col("text") < "b", "few").otherwise("many"))
+    plan = {r._source: r for r in mixing.plan_mix(df, repetition=1.3, block_docs=64).collect()}
+    mixed = mixing.mix_sources(df, repetition=1.3, block_docs=64)
+    assert mixed.filter("epoch = 0").count() == 340
+    for source, p in plan.items():
+        own = mixed.filter(F.col("source") == source)
+        copies = 40 if source == "few" else 1  # taken together or not at all
+        assert p.budget - 2 * copies < own.count() * 2 <= p.budget
 
 
 def test_awkward_rows(spark):
