@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plateia.catalog import views
 from plateia.catalog.entries import QUERIES
-from plateia.operators import overview, relevance
+from plateia.operators import overview, relevance, silver
 from plateia.operators.enrichment import enrich_comments
 from plateia.operators.latest import keep_latest
 from plateia.sources import bronze
@@ -145,3 +145,31 @@ def test_a_hot_video_is_split_in_the_enriching_join(spark, conf):
     enriched = enrich_comments(comments, videos)
     assert len(enriched.collect()) == 60_000
     assert "skew=true" in _plan(enriched)
+
+
+@pytest.mark.parametrize("name", ["silver_comments"])
+def test_no_comment_takes_its_text_through_the_shuffle_by_key(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    latest = next(line for line in plan.splitlines() if "Aggregate [comment_id" in line)
+    assert "text_id" in latest and not re.search(r"\btext(_clean)?#", latest)
+
+
+def test_texts_named_by_id_give_what_texts_in_the_rows_give(spark):
+    rows = [
+        ("c1", "v", 0, "2026-01-01", "f", 0), ("c1", "v", 1, "2026-01-02", "f", 0), ("c2", "v", None, "2026-01-01", "f", 1),
+        ("c3", "v", 1, "2026-01-01", "f", 2), ("c4", "v", 9, "2026-01-01", "f", 3), ("c5", "w", 0, "2026-01-01", "f", 4),
+    ]
+    named = spark.createDataFrame(
+        rows, "comment_id STRING, video_id STRING, text_id BIGINT, collected_at STRING, source_file STRING, position BIGINT"
+    ).withColumns({
+        "source": F.lit("s"), "category": F.lit("imprensa"), "parent_id": F.lit(None).cast("string"),
+        "published_at": F.lit("2026-01-01T00:00:00Z"), "updated_at": F.lit("2026-01-01T00:00:00Z"),
+        "like_count": F.lit(1).cast("bigint"),
+    })
+    texts = spark.createDataFrame([(0, " a\n b "), (1, "é"), (2, None)], "text_id BIGINT, text STRING")
+    videos = spark.createDataFrame([("v",)], "video_id STRING")
+    apart = silver.silver_comments(named, videos, views.PROCESSED_AT, texts=texts)
+    inside = silver.silver_comments(named.join(texts, "text_id", "left"), videos, views.PROCESSED_AT)
+    assert apart.schema.simpleString() == inside.schema.simpleString()
+    assert sorted(map(repr, apart.collect())) == sorted(map(repr, inside.collect()))
+    assert {r.comment_id: r.text_clean for r in apart.collect()} == {"c1": "é", "c2": "", "c3": "é", "c4": ""}
