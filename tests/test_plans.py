@@ -147,7 +147,7 @@ def test_a_hot_video_is_split_in_the_enriching_join(spark, conf):
     assert "skew=true" in _plan(enriched)
 
 
-@pytest.mark.parametrize("name", ["silver_comments"])
+@pytest.mark.parametrize("name", ["silver_comments", "channel_engagement_from_bronze"])
 def test_no_comment_takes_its_text_through_the_shuffle_by_key(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     latest = next(line for line in plan.splitlines() if "Aggregate [comment_id" in line)
