@@ -16,7 +16,7 @@ from plateia.operators.relevance import is_relevant, mark_relevance
 from plateia.operators.scoring import PredictorFactory, score_comments
 from plateia.operators.silver import silver_comments, silver_videos
 from plateia.operators.timelines import candidate_timeline, channel_timeline
-from plateia.session import pin_utc
+from plateia.session import bound_batches, pin_utc
 from plateia.sources.runs import record, withdraw_run, write_run
 from plateia.sources.settings import Entries, channel_table, write_run_settings
 
@@ -64,6 +64,7 @@ def run_pipeline(
     three gold branches use it.
     """
     pin_utc(spark)
+    bound_batches(spark)
     withdraw_run(spark, root, run_id)
     processed_at = processed_at or datetime.now(UTC)
     channels, terms = write_run_settings(spark, root, run_id, channels, terms)

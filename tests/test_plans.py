@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,19 @@ def test_texts_named_by_id_give_what_texts_in_the_rows_give(spark):
     assert apart.schema.simpleString() == inside.schema.simpleString()
     assert sorted(map(repr, apart.collect())) == sorted(map(repr, inside.collect()))
     assert {r.comment_id: r.text_clean for r in apart.collect()} == {"c1": "é", "c2": "", "c3": "é", "c4": ""}
+
+
+@pytest.mark.parametrize("owned, most", [("10000", 512), ("0", 512), ("100", 100)])
+def test_workers_get_small_batches_of_texts(spark, conf, owned, most):
+    conf({"spark.sql.execution.arrow.maxRecordsPerBatch": owned, "spark.sql.execution.arrow.maxBytesPerBatch": "64m"})
+    views.documents(spark, FOLDER)
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+    seen = [r.rows for r in spark.range(0, 2000, 1, 1).mapInArrow(rows, "rows BIGINT").collect()]
+    assert max(seen) == most and sum(seen) == 2000
+    if owned != "100":
+        long = spark.range(0, 500, 1, 1).select(F.repeat(F.lit("x"), 100_000))
+        assert len(long.mapInArrow(rows, "rows BIGINT").collect()) > 10
