@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from plateia import defaults
 from plateia.functions.numeric import percent, total
 from plateia.operators import engagement
+from plateia.session import small_tasks
 from plateia.sources.parts import LatestState, PartTable
 
 _SCORE = T.DecimalType(38, 12)
@@ -43,13 +44,17 @@ def _summed() -> list[Column]:
 
 
 def signed(comments: DataFrame, sign: int) -> DataFrame:
-    """Cube rows of comments that come (1) or go (-1); comments without a time have no day."""
+    """A cube row per comment that comes (1) or goes (-1); comments without a time have no day."""
 
     def times(condition: Column) -> Column:
         return F.when(condition, F.lit(sign)).otherwise(0).cast("bigint")
 
+    def turned(amount: Column) -> Column:
+        # A product of decimals would be slower and lose the last digits.
+        return amount if sign > 0 else -amount
+
     scores = {"_score": "score_sentimento", "_emotion": "score_emocao"}
-    rows = comments.select(
+    return comments.select(
         F.to_date("published_at").alias("data"),
         F.date_trunc("hour", "updated_at").alias("atualizado"),
         "video_id",
@@ -64,15 +69,14 @@ def signed(comments: DataFrame, sign: int) -> DataFrame:
             for name in defaults.SENTIMENTS
         ),
         *(
-            (F.coalesce(F.col(column).cast(_SCORE), F.lit(0).cast(_SCORE)) * sign).cast(_SCORE).alias(name)
+            turned(F.coalesce(F.col(column).cast(_SCORE), F.lit(0).cast(_SCORE))).alias(name)
             for name, column in scores.items()
         ),
     )
-    return rows.groupBy(*KEYS).agg(*_summed())
 
 
 def added(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The sum of two cubes, or of a cube and changes to it."""
+    """The sum of two cubes, of a cube and changes to it, or of signed comments."""
     return left.unionByName(right).groupBy(*KEYS).agg(*_summed())
 
 
@@ -101,7 +105,8 @@ class CommentCube:
         buckets = self.state.table.changed(old, new)
         change = changes(self.state.rows(buckets, new), self.state.rows(buckets, old))
         path = f"{self.table.path}/changes/{new}"
-        change.write.mode("overwrite").parquet(path)
+        with small_tasks(self.table.spark):
+            change.write.mode("overwrite").parquet(path)
         change = self.table.spark.read.schema(SCHEMA).parquet(path)
         # One row per day comes back.
         touched = sorted(row.part for row in change.select(day_part().alias("part")).distinct().collect())

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from plateia import schemas
 from plateia.operators.latest import SNAPSHOT_ORDER, keep_latest
+from plateia.session import small_tasks
 from plateia.sources.runs import place_of
 
 
@@ -65,14 +66,16 @@ class PartTable:
     def commit(self, version: int, rows: DataFrame, part: Column, touched: Collection[str]) -> None:
         """Make ``rows`` the whole content of the touched parts; parts left without rows go.
 
-        Large parts are split into several files by adaptive planning.
+        Large parts are split into several files by adaptive planning. Rows of a task are
+        sorted by part, so tasks are kept small.
         """
         if version <= self.version():
             raise ValueError(f"version {version} of {self.path} is committed already")
         old = {p: held for p, held in self.index().items() if p not in touched}
         folder = f"{self.path}/data/{version}"
         placed = schemas.conform(rows, self.schema).withColumn("part", part)
-        placed.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(folder)
+        with small_tasks(self.spark):
+            placed.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(folder)
         new = {name.removeprefix("part="): version for name in self._names(folder) if name.startswith("part=")}
         listed = self.spark.createDataFrame(sorted((old | new).items()), "part STRING, version INT")
         listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{version}")

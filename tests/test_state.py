@@ -153,3 +153,29 @@ def test_only_days_that_change_are_rewritten(spark, tmp_path):
     assert totals.catch_up() == ["2026-01-02"]
     assert files.items() <= _files(tmp_path / "cube/data").items()
     assert {str(r.data): r._likes for r in totals.rows().collect()} == {"2026-01-01": 1, "2026-01-02": 8, "2026-01-03": 1}
+
+
+def test_small_differences_of_scores_are_taken_back_whole(spark):
+    when = datetime(2026, 1, 1)
+    rows = [("c", "v", when, when, 1, "POSITIVO", 0.123456789012, None, False, "2026-02-01", "f", 0)]
+    comments = _rows(spark, rows, COLLECTED)
+    gone = cube.changes(comments.limit(0), comments).first()
+    assert str(gone._score) == "-0.123456789012" and gone._rows == -1
+    assert cube.changes(comments, comments).count() == 0
+
+
+def test_changes_are_added_up_once(spark, tmp_path):
+    _rows(spark, _comments(random.Random(2), 1, 50), COLLECTED).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.schema(COLLECTED).parquet(str(tmp_path / "rows"))
+    plan = cube.changes(rows, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+
+
+def test_tasks_of_a_commit_stay_small(spark, tmp_path):
+    """A commit splits its rows by 8 MB, whatever the session says, and leaves the session as it was."""
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    table = PartTable(spark, str(tmp_path), PLAIN)
+    rows = spark.range(0, 4_000_000, 1, 8).select(F.lit("a").alias("p"), (F.xxhash64("id") % 1_000_000_007).cast("int").alias("v"))
+    table.commit(1, rows, F.col("p"), ["a"])
+    assert len(_files(tmp_path)) > 1 and table.read().count() == 4_000_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
