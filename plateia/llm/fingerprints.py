@@ -10,11 +10,12 @@ of its keys and that of their checks. The fingerprint of a text is its number of
 and a sketch of 24 cells of them all. Subtracting the sketches of two versions leaves
 the keys that differ; peeling recovers them from cells that hold one key, which takes
 them out of their other cells, until nothing is left. If peeling gets stuck, it is
-retried with a sketch eight times larger, in blocks of 12 cells: a new hash deals the
-keys to the blocks, blocks that peel are done, and the keys of those that don't go on
-to the next size. So a retry costs in proportion to its keys, every difference is
-peeled, and no two sets are compared directly. Likeness is common keys over all keys
-of both.
+retried with a larger sketch, in blocks of 24 cells: as many as suit the number of
+differing keys, which the counts of the stuck sketch tell roughly, then eight times as
+many. A new hash deals the keys to the blocks, blocks that peel are done, and the keys
+of those that don't go on to the next size. So a wrong estimate costs a retry and no
+key, a retry costs in proportion to its keys, every difference is peeled, and no two
+sets are compared directly. Likeness is common keys over all keys of both.
 
 Everything is a Column function; no Python runs on executors.
 
@@ -28,6 +29,7 @@ predecessor. An empty table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,16 +44,19 @@ PARAGRAPH = (
 )
 NO_ID = -(1 << 63) - 1
 CELLS = 24  # of a fingerprint
-BLOCK = 12  # of a block of a larger sketch
+BLOCK = 24  # of a block of a larger sketch
+LOAD = 7  # keys that a block is meant for
 HASHES = 3
 # Blocks of the largest size outnumber the keys an array can hold.
 SIZES = 12
 ROUNDS = 14
+ITEM = "struct<c:int,k:bigint>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    # An aggregate hands its value on as it is; a transform would copy what the body returns.
+    return F.aggregate(F.array(F.lit(0)), value, lambda same, _: same, body)
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -68,12 +73,23 @@ def _check(key: Column) -> Column:
 
 
 def _placed(key: Column, sign: Column, block: Column, size: Column, cells: int) -> Column:
-    """A signed key with its block and the cells it has there, one in each third."""
-    places = [
-        F.pmod(F.xxhash64(key, F.lit(r), size), F.lit(cells // HASHES)).cast("int").alias(f"p{r}")
+    """A signed key with its block and, as bits, the cells it has there: one in each third."""
+    third = cells // HASHES
+    bits = [
+        F.call_function("shiftleft", F.lit(1 << r * third), F.pmod(F.xxhash64(key, F.lit(r), size), F.lit(third)).cast("int"))
         for r in range(HASHES)
     ]
-    return F.struct(block.alias("b"), sign.alias("c"), key.alias("k"), _check(key).alias("x"), *places)
+    return F.struct(
+        block.alias("b"), sign.alias("c"), key.alias("k"), _check(key).alias("x"),
+        reduce(Column.bitwiseOR, bits).alias("at"))
+
+
+def _bits(cells: int) -> Column:
+    return F.array(*(F.lit(1 << place) for place in range(cells)))
+
+
+def _in_cell(items: Column, bit: Column) -> Column:
+    return F.filter(items, lambda t: t["at"].bitwiseAND(bit) > 0)
 
 
 def _add(cell: Column, c: Column, item: Column) -> Column:
@@ -88,11 +104,8 @@ def sketch(items: Column, cells: int) -> Column:
     zero = F.lit(0).cast("bigint")
     empty = F.struct(F.lit(0).alias("c"), zero.alias("k"), zero.alias("x"))
 
-    def third(r: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(cells // HASHES - 1)), lambda place: F.aggregate(
-            F.filter(items, lambda t: t[f"p{r}"] == place), empty, lambda cell, t: _add(cell, t["c"], t)))
-
-    return F.concat(*(third(r) for r in range(HASHES)))
+    return F.transform(_bits(cells), lambda bit: F.aggregate(
+        _in_cell(items, bit), empty, lambda cell, t: _add(cell, t["c"], t)))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -104,14 +117,11 @@ def peel(cells: Column, size: Column, n: int) -> Column:
     """(cells, found, on): what is left, and how many keys were recovered."""
 
     def taken(state: Column, items: Column) -> Column:
-        def third(r: int) -> Column:
-            cells = F.slice(state["cells"], r * (n // HASHES) + 1, n // HASHES)
-            return F.transform(cells, lambda cell, place: F.aggregate(
-                F.filter(items, lambda t: t[f"p{r}"] == place), cell, lambda c, t: _add(c, -t["c"], t)))
-
-        return F.struct(
-            F.concat(*(third(r) for r in range(HASHES))).alias("cells"),
-            (state["found"] + F.size(items)).alias("found"), (F.size(items) > 0).alias("on"))
+        cells = F.zip_with(state["cells"], _bits(n), lambda cell, bit: F.aggregate(
+            _in_cell(items, bit), cell, lambda c, t: _add(c, -t["c"], t)))
+        more = F.struct(
+            cells.alias("cells"), (state["found"] + F.size(items)).alias("found"), F.lit(True).alias("on"))
+        return F.when(F.size(items) > 0, more).otherwise(state.withField("on", F.lit(False)))
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["x"]))
@@ -132,13 +142,13 @@ def _resolved(cells: Column, size: Column, n: int) -> Column:
     return let(peel(cells, size, n), counted)
 
 
-def _blocks(items: Column) -> Column:
-    """Runs of the items of one block, from items sorted by block."""
+def _per_block(items: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the items of each block, from items sorted by block."""
     n = F.size(items)
     starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
         F.element_at(items, i)["b"] != F.element_at(items, F.greatest(i - 1, F.lit(1)))["b"]))
-    return let(starts, lambda at: F.transform(at, lambda start, i: F.slice(
-        items, start, F.coalesce(F.get(at, i + 1), n + 1) - start)))
+    return let(starts, lambda at: F.transform(at, lambda start, i: let(
+        F.slice(items, start, F.coalesce(F.get(at, i + 1), n + 1) - start), body)))
 
 
 def whole_sketch(key_set: Column) -> Column:
@@ -147,6 +157,19 @@ def whole_sketch(key_set: Column) -> Column:
     return let(items, lambda own: sketch(own, CELLS))
 
 
+def estimated(cells: Column, n_a: Column, n_b: Column) -> Column:
+    """About how many keys the difference of two whole sketches holds, 1 at least, from its counts.
+
+    In a third of p cells the squared counts of d keys, of which one side has s
+    more, add up to d + (s * s - d) / p on average.
+    """
+    third = CELLS // HASHES
+    squares = F.aggregate(cells, F.lit(0).cast("bigint"), lambda n, cell: n + cell["c"].cast("bigint") * cell["c"]) / HASHES
+    surplus = (n_a - n_b).cast("double")
+    about = (third * squares - surplus * surplus) / (third - 1)
+    return F.greatest(F.least(about, (n_a + n_b).cast("double")), F.abs(surplus), F.lit(1.0))
+
+
 def tries(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
     """(found, left, sizes): differing keys peeled, items that no size resolved, sizes tried.
 
@@ -156,28 +179,38 @@ def tries(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
         return F.transform(key_set, lambda key: F.struct(F.lit(sign).alias("c"), key.alias("k")))
 
     def retried(state: Column, size: Column) -> Column:
-        blocks = F.call_function("shiftleft", F.lit(2).cast("bigint"), 3 * size)
+        blocks = F.call_function("shiftleft", state["blocks"], 3 * (size - 1))
         dealt = F.sort_array(F.transform(state["left"], lambda t: _placed(
             t["k"], t["c"], F.pmod(F.xxhash64(t["k"], F.lit(HASHES), size), blocks), size, BLOCK)))
-        peeled = let(dealt, lambda items: F.transform(_blocks(items), lambda block: F.struct(
-            block.alias("items"), _resolved(sketch(block, BLOCK), size, BLOCK).alias("found"))))
+
+        def outcome(block: Column) -> Column:
+            return let(_resolved(sketch(block, BLOCK), size, BLOCK), lambda found: F.struct(
+                found.alias("found"), F.when(found.isNull(), block).alias("stuck")))
+
+        peeled = let(dealt, lambda items: _per_block(items, outcome))
 
         def after(done: Column) -> Column:
-            stuck = F.flatten(F.transform(F.filter(done, lambda d: d["found"].isNull()), lambda d: d["items"]))
+            stuck = F.flatten(F.transform(F.filter(done, lambda d: d["found"].isNull()), lambda d: d["stuck"]))
             return F.struct(
                 F.aggregate(done, state["found"], lambda n, d: n + F.coalesce(d["found"], F.lit(0))).alias("found"),
                 F.transform(stuck, lambda t: F.struct(t["c"].alias("c"), t["k"].alias("k"))).alias("left"),
-                (state["sizes"] + 1).alias("sizes"))
+                state["blocks"].alias("blocks"), (state["sizes"] + 1).alias("sizes"))
 
         return F.when(F.size(state["left"]) == 0, state).otherwise(let(peeled, after))
 
-    def first(found: Column) -> Column:
-        everything = F.concat(signed(a, 1), signed(b, -1))
-        left = F.when(found.isNull(), everything).otherwise(F.slice(everything, 1, 0))
-        start = F.struct(F.coalesce(found, F.lit(0)).alias("found"), left.alias("left"), F.lit(1).alias("sizes"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(SIZES - 1)), start, retried)
+    def first(cells: Column) -> Column:
+        def rest(found: Column) -> Column:
+            everything = F.concat(signed(a, 1), signed(b, -1))
+            left = F.when(found.isNull(), everything).otherwise(F.array().cast(f"array<{ITEM}>"))
+            blocks = F.ceil(estimated(cells, F.size(a), F.size(b)) / LOAD)
+            start = F.struct(
+                F.coalesce(found, F.lit(0)).alias("found"), left.alias("left"), blocks.alias("blocks"),
+                F.lit(1).alias("sizes"))
+            return F.aggregate(F.sequence(F.lit(1), F.lit(SIZES - 1)), start, retried)
+
+        return let(_resolved(cells, F.lit(0), CELLS), rest)
 
-    return let(_resolved(subtract(a_cells, b_cells), F.lit(0), CELLS), first)
+    return let(subtract(a_cells, b_cells), first)
 
 
 def likeness(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:

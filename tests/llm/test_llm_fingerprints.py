@@ -71,6 +71,19 @@ def test_peeling_recovers_every_difference(spark):
     assert any(row.t.sizes >= 3 for row in found if row.most > 100)  # more keys than 16 blocks hold: retried larger
 
 
+def test_the_first_retry_suits_the_difference(spark):
+    rng = random.Random(8)
+    rows = []
+    for common, differing in ((0, 2000), (3000, 2000), (0, 300), (2000, 40)):
+        keys = [rng.getrandbits(62) for _ in range(common + differing)]
+        rows += [(keys[: common + cut], keys[:common] + keys[common + cut :], differing) for cut in (differing // 2, 0)]
+    df = spark.createDataFrame(rows, "a ARRAY<BIGINT>, b ARRAY<BIGINT>, n INT")
+    a_cells, b_cells = fp.whole_sketch(F.col("a")), fp.whole_sketch(F.col("b"))
+    for row in df.select("n", fp.tries(F.col("a"), F.col("b"), a_cells, b_cells).alias("t")).collect():
+        assert row.t.found == row.n and row.t.left == []
+        assert row.t.sizes <= 4  # the stored sketch, and three more even where the estimate is half the difference
+
+
 def test_likeness_is_the_share_of_common_paragraphs(spark):
     rng = random.Random(3)
     texts = [text_of(rng, rng.randint(1, 120)) for _ in range(40)]
