@@ -47,7 +47,7 @@ CELLS = 24  # of a fingerprint
 BLOCK = 24  # of a block of a larger sketch
 LOAD = 7  # keys that a block is meant for
 HASHES = 3
-# Blocks of the largest size outnumber the keys an array can hold.
+# The largest size has 2^30 blocks for each of the first retry.
 SIZES = 12
 ROUNDS = 14
 ITEM = "struct<c:int,k:bigint>"
