@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plateia.llm.common import only, written
+from plateia.session import bound_batches
 
 # Larger components leave nearly no product that is a long.
 LIMIT = 1 << 62
@@ -118,6 +119,16 @@ def _blocks(rows: DataFrame, key: str, width: int) -> DataFrame:
     )
 
 
+def _blocks_per_shelf(n_blocks: int) -> int:
+    """How many blocks meet one copy of the queries.
+
+    64 shelves, so that the copies grow as the queries do, until a shelf has the 64 blocks
+    that a join task may hold; more of them only where 1024 shelves, whose longest vectors
+    the driver takes, are not enough.
+    """
+    return max(1, min(64, -(-n_blocks // 64)), -(-n_blocks // 1024))
+
+
 def _fit_rotation(rows: DataFrame, total: int, width: int, fit_rows: int) -> np.ndarray:
     """The SVD rotation of about ``fit_rows`` vectors, drawn by a digest; at most twice as many."""
     drawn = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(total)) < fit_rows
@@ -198,7 +209,8 @@ def top_inner_products(
 
     ``is_query`` picks the query rows by ``vec_id``; candidates are all other rows.
     """
-    spark = vectors.sparkSession
+    # A pair of blocks is a row of over 1 MB.
+    spark = bound_batches(vectors.sparkSession)
     spread = scaled_vectors(vectors, scale).repartitionByRange(F.desc("norm"), "vec_id", F.xxhash64("vector"))
     rows = written(
         spread.sortWithinPartitions(F.desc("norm"), "vec_id", F.xxhash64("vector")).mapInArrow(_numbered, ROWS),
@@ -217,7 +229,8 @@ def top_inner_products(
 
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = rows.join(before, "part").withColumn(
+    # One row per part: without the hint an estimate could shuffle the vectors for it.
+    ranked = rows.join(F.broadcast(before), "part").withColumn(
         "block", F.floor((F.col("before") + F.col("place")) / block_rows)
     )
     blocks = written(_blocks(ranked, "block", width), "vector-blocks")
@@ -225,9 +238,8 @@ def top_inner_products(
     asked = rows.filter(is_query).withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(groups)))
     query_blocks = _blocks(asked, "block", width)
 
-    # At most 1024 shelves of equally many blocks: their longest vectors fit any driver.
     n_blocks = -(-total // block_rows)
-    per_shelf = -(-n_blocks // 1024)
+    per_shelf = _blocks_per_shelf(n_blocks)
     shelved = blocks.withColumn("shelf", F.floor(F.col("block") / per_shelf))
     tops = [r.top for r in shelved.groupBy("shelf").agg(F.max("top").alias("top")).orderBy("shelf").collect()]
     longest = blocks.filter("block = 0").first()
@@ -261,8 +273,10 @@ def top_inner_products(
         thresholds,
         "query_block BIGINT, query_ids BINARY, query_rows BINARY, query_matrix BINARY, floor BINARY, last BIGINT",
     )
+    # The planner knows the size of the queries before they are copied to their shelves, not
+    # after: without the hint it collects the copies to broadcast them.
     pairs = pruned.withColumn("shelf", F.explode(F.sequence(F.lit(0).cast("bigint"), "last"))).join(
-        shelved.select("shelf", "block", "ids", "matrix"), "shelf"
+        shelved.select("shelf", "block", "ids", "matrix").hint("merge"), "shelf"
     )
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

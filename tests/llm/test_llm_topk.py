@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from plateia.llm.topk import top_inner_products
+from plateia.llm.topk import _blocks_per_shelf, top_inner_products
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, score STRING, rank STRING"
 
@@ -78,3 +78,21 @@ def test_scores_beyond_a_long_stop_at_its_ends(spark):
     rows = [(0, [2.0**50]), (1, [2.0**51]), (2, [2.0**-6]), (3, [-(2.0**50)])]
     found = {(q, v): score for q, _, v, score in run(spark, rows)}
     assert found[0, 1] == 2**63 - 1 and found[0, 3] == -(2**63 - 1) and found[0, 2] == 2**60
+
+
+def test_copies_of_the_queries_are_not_broadcast(spark):
+    rng = random.Random(4)
+    rows = [(i, [single(rng.gauss(0, 1)) for _ in range(12)]) for i in range(300)]
+    df = spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA).repartition(4)
+    found = top_inner_products(df, F.col("vec_id") % 5 == 0, k=3, block_rows=2, query_rows=8)
+    assert sorted(map(tuple, found.collect())) == expected(rows, 5, 3)
+    ran = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in ran or "Final Plan" in ran
+    assert "SortMergeJoin" in ran and "Broadcast" not in ran
+
+
+def test_copies_of_the_queries_grow_as_the_queries_do():
+    shelves = {n: -(-n // _blocks_per_shelf(n)) for n in (1, 64, 65, 293, 1500, 4096)}
+    assert shelves[1] == 1 and shelves[64] == 64 and max(shelves.values()) <= 64
+    assert max(_blocks_per_shelf(n) for n in (4097, 30_000, 65_536)) == 64
+    assert all(-(-n // _blocks_per_shelf(n)) <= 1024 for n in (65_536, 65_537, 10**6, 10**8))
