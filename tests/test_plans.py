@@ -1,5 +1,6 @@
 """Plan shapes the scale behaviour depends on."""
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -155,6 +156,49 @@ def test_no_comment_takes_its_text_through_the_shuffle_by_key(spark, name):
     assert "text_id" in latest and not re.search(r"\btext(_clean)?#", latest)
 
 
+def test_no_comment_takes_its_text_through_the_shuffle_by_video(spark):
+    """Whole texts are scored and digested below the enriching join, and only digests cross it."""
+    plan = QUERIES["enriched_comments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    comments = lines[next(i for i, line in enumerate(lines) if "Join LeftOuter, (video_id" in line) + 1]
+    assert re.search(r"md5\(.*?\) AS text_clean#", comments)
+    assert not re.search(r"(?<!AS )\btext_clean#\d+(?=[,\]])", comments)
+
+
+def test_digests_taken_before_enriching_are_those_taken_after(spark):
+    before = QUERIES["enriched_comments"](spark, FOLDER)
+    whole = enrich_comments(views.scored(spark, FOLDER), views.videos(spark, FOLDER))
+    texts = {r.comment_id: r.text_clean for r in whole.select("comment_id", "text_clean").collect()}
+    digests = {r.comment_id: r.text_clean for r in before.select("comment_id", "text_clean").collect()}
+    assert max(map(len, texts.values())) > 1000 and "" in texts.values()
+    assert digests == {name: hashlib.md5(text.encode()).hexdigest() for name, text in texts.items()}
+
+
+def test_the_latest_snapshots_shuffle_texts_by_video_once(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    plan = _plan(keep_latest(views.video_snapshots(spark, FOLDER), ["video_id"]))
+    assert len(re.findall(r"Exchange hashpartitioning\(video_id#", plan)) == 1
+    assert len(re.findall(r"FileScan parquet \[[^\]]*text#", plan)) == 1
+
+
+def test_snapshots_of_repeated_and_unlabelled_documents(spark, tmp_path):
+    docs = [(n, f"t{n}\nx", "en", "src1", 97 + i) for i, n in enumerate([0, 1, 1, 2, 3, None])]
+    spark.createDataFrame(docs, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    labels = [(1, 1, 0), (1, 0, 0), (2, None, 0), (3, 0, 1), (9, 1, 0), (None, 1, 0)]
+    spark.createDataFrame(labels, "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = views.video_snapshots(spark, str(tmp_path)).collect()
+    first, second = "2024-02-01T00:00:00+00:00", "2024-02-02T00:00:00+00:00"
+    one, two = "videos_1.json", "videos_2.json"
+    expected = [("v0", 0, one, first), ("v1", 1, one, first), ("v1", 2, one, first), ("v2", 3, one, first), ("v3", 4, one, first)]
+    expected += [("v1", 1001, two, second), ("v1", 1001, two, first), ("v1", 1002, two, second), ("v1", 1002, two, first)]
+    expected += [("v2", 1003, two, first), ("v3", 1004, two, first), (None, 5, one, first)]
+    found = [(r.video_id, r.like_count, r.source_file, r.collected_at) for r in rows]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+    assert all(r.description == f"t{r.position}\nx" and r.title == f"t{r.position}" for r in rows if r.video_id)
+
+
 def test_texts_named_by_id_give_what_texts_in_the_rows_give(spark):
     rows = [
         ("c1", "v", 0, "2026-01-01", "f", 0), ("c1", "v", 1, "2026-01-02", "f", 0), ("c2", "v", None, "2026-01-01", "f", 1),
